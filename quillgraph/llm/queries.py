@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillgraph.llm import mixing, tokencount, urlfilter, wordbpe
-from quillgraph.llm.common import table
+from quillgraph.llm import hnsw, mixing, quality, tokencount, topk, toxicity, urlfilter, vectors, wordbpe
+from quillgraph.llm.common import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -31,6 +31,17 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def _judged(scored: DataFrame, held_out: Column) -> DataFrame:
+    predicted = (F.col("score") >= 0.5).cast("int").alias("predicted")
+    return scored.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", predicted)
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = fold(F.col("doc_id"), 5) == 0
+    return _judged(toxicity.score(docs, toxicity.fit(docs, labels, ~held_out)), held_out)
+
+
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     file = public_tokenizers.path("byte_bpe_50k.json")
     encoded = wordbpe.encode(table(spark, sf_dir, "documents"), file)
@@ -39,8 +50,26 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_hnsw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = vectors.valid(table(spark, sf_dir, "embeddings"))
+    return hnsw.nearest(rows, rows.filter("vec_id % 100 = 0"), k=10)
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "source")
 
 
-QUERIES: dict[str, Query] = {q.__name__: q for q in (op1_url_filter, op2_token_counts, op5_bpe, op7_mixing)}
+def op8_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = topk.quantized(vectors.valid(table(spark, sf_dir, "embeddings"), zero=True))
+    return topk.top_k(rows, rows.filter("vec_id % 50 = 0"), k=5)
+
+
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = fold(F.col("doc_id"), 3) == 1
+    return _judged(quality.score(docs, quality.fit(docs, labels, ~held_out)), held_out)
+
+
+QUERIES: dict[str, Query] = {
+    q.__name__: q for q in (op1_url_filter, op2_token_counts, op4_toxicity, op5_bpe, op6_hnsw, op7_mixing, op8_top_k, op9_quality)
+}
