@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillgraph.llm import hnsw, mixing, quality, tokencount, topk, toxicity, urlfilter, vectors, wordbpe
+from quillgraph.llm import hnsw, mixing, ngramjoin, quality, tokencount, topk, toxicity, urlfilter, vectors, wordbpe
 from quillgraph.llm.common import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -70,6 +70,10 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _judged(quality.score(docs, quality.fit(docs, labels, ~held_out)), held_out)
 
 
+def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngramjoin.join(table(spark, sf_dir, "documents"), n=4, percent=85)
+
+
 QUERIES: dict[str, Query] = {
-    q.__name__: q for q in (op1_url_filter, op2_token_counts, op4_toxicity, op5_bpe, op6_hnsw, op7_mixing, op8_top_k, op9_quality)
+    q.__name__: q for q in (op1_url_filter, op2_token_counts, op4_toxicity, op5_bpe, op6_hnsw, op7_mixing, op8_top_k, op9_quality, op10_ngram_join)
 }
