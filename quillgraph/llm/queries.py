@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillgraph.llm import hnsw, mixing, ngramjoin, quality, tokencount, topk, toxicity, urlfilter, vectors, wordbpe
+from quillgraph.llm import hnsw, mixing, ngramjoin, quality, suffixdedup, tokencount, topk, toxicity, urlfilter, vectors, wordbpe
 from quillgraph.llm.common import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,6 +31,11 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = suffixdedup.remove_repeats(table(spark, sf_dir, "documents"), length=400)
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def _judged(scored: DataFrame, held_out: Column) -> DataFrame:
     predicted = (F.col("score") >= 0.5).cast("int").alias("predicted")
     return scored.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", predicted)
@@ -75,5 +80,17 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    q.__name__: q for q in (op1_url_filter, op2_token_counts, op4_toxicity, op5_bpe, op6_hnsw, op7_mixing, op8_top_k, op9_quality, op10_ngram_join)
+    q.__name__: q
+    for q in (
+        op1_url_filter,
+        op2_token_counts,
+        op3_suffix_dedup,
+        op4_toxicity,
+        op5_bpe,
+        op6_hnsw,
+        op7_mixing,
+        op8_top_k,
+        op9_quality,
+        op10_ngram_join,
+    )
 }
