@@ -22,7 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillgraph.llm.common import reach_workers, slices
@@ -35,6 +35,8 @@ LENGTH, GRAM = 400, 100
 PART, BATCH = 4 << 20, 4096
 #: Different surroundings of one piece that one task compares; more are dealt out.
 HOT = 20_000
+#: Bits of the distance from a run's first start to its last and to its anchor, in one number with that start.
+OFFSET = 12
 
 _GRAM_BASE, _CTX_BASE, _OTHER_BASE = 0x9FB21C651E98DF25, 0xD6E8FEB86659FD93, 0xC2B2AE3D27D4EB4F
 
@@ -93,12 +95,25 @@ def _anchor_rows(keyed: DataFrame, length: int, gram: int) -> DataFrame:
             for start, stop in slices(batch.column("text"), PART):
                 own, low, high, at, piece, around = anchors(batch.column("text").slice(start, stop - start), length, gram)
                 key = batch.column("key").slice(start, stop - start).take(pa.array(own, pa.int64()))
+                place = low << 2 * OFFSET | (high - low) << OFFSET | at - low
                 yield pa.RecordBatch.from_arrays(
-                    [key, *(pa.array(x, pa.int32()) for x in (low, high, at)), *(pa.array(x.view(np.int64), pa.int64()) for x in (piece, around))],
-                    ["key", "low", "high", "at", "piece", "around"],
+                    [key, pa.array(place, pa.int64()), *(pa.array(x.view(np.int64), pa.int64()) for x in (piece, around))],
+                    ["key", "place", "piece", "around"],
                 )
 
-    return keyed.mapInArrow(make, "key bigint, low int, high int, at int, piece bigint, around bigint")
+    return keyed.mapInArrow(make, "key bigint, place bigint, piece bigint, around bigint")
+
+
+def _low(place: Column) -> Column:
+    return F.shiftright(place, 2 * OFFSET)
+
+
+def _high(place: Column) -> Column:
+    return _low(place) + F.shiftright(place, OFFSET).bitwiseAND((1 << OFFSET) - 1)
+
+
+def _at(place: Column) -> Column:
+    return _low(place) + place.bitwiseAND((1 << OFFSET) - 1)
 
 
 def _common(rows: np.ndarray) -> np.ndarray:
@@ -242,14 +257,18 @@ def _hot_spans(edges: DataFrame, length: int) -> DataFrame:
 
 def repeats(keyed: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HOT) -> DataFrame:
     """Byte ranges ``(key, start, stop)`` of rows ``(key, text)`` that repeated strings cover; they may overlap."""
+    if length - gram >= 1 << OFFSET:
+        raise ValueError(f"strings of {length} bytes need pieces of {length - (1 << OFFSET) + 1} bytes at least")
     rows = _anchor_rows(keyed, length, gram).checkpoint()
     again = rows.groupBy("piece").agg(F.count("*").alias("n")).filter("n > 1").select("piece")
     rows = rows.join(again, "piece").checkpoint()
-    around = rows.groupBy("piece", "around").agg(F.count("*").alias("n"), F.min(F.struct("key", "low", "high", "at")).alias("one")).checkpoint()
+    around = rows.groupBy("piece", "around").agg(F.count("*").alias("n"), F.min(F.struct("key", "place")).alias("one")).checkpoint()
     settled = rows.join(around.filter("n > 1").select("piece", "around"), ["piece", "around"])
-    settled = settled.select("key", F.col("low").alias("start"), (F.col("high") + length).alias("stop"))
+    settled = settled.select("key", _low(F.col("place")).cast("int").alias("start"), (_high(F.col("place")) + length).cast("int").alias("stop"))
     mixed = around.groupBy("piece").agg(F.count("*").alias("kinds")).filter("kinds > 1")
     edges = around.join(mixed, "piece").select("piece", "kinds", "one.*")
+    place = F.col("place")
+    edges = edges.select("piece", "kinds", "key", _low(place).alias("low"), _high(place).alias("high"), _at(place).alias("at"))
     asked = edges.groupBy("key").agg(F.collect_list(F.struct("piece", "kinds", "low", "high", "at")).alias("asked"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
