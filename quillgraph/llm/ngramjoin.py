@@ -8,8 +8,8 @@ last, so that a line in a third of all documents brings nothing together.
 1. Every class is held against the smallest class at each of its first
    n-grams, which joins groups of near copies by a number of pairs in
    proportion to their size.
-2. Where classes at an n-gram are still in different components, they meet in
-   tiles of neighbouring size bands, so that no link is lost.
+2. Where other classes at an n-gram are still in different components, they
+   meet in tiles of neighbouring size bands, so that no link is lost.
 
 In both, the hashed bitmaps of a pair bound its overlap from above before the
 sorted arrays are intersected.
@@ -33,6 +33,8 @@ from quillgraph.sources.shared import shared_dir
 SKETCH = 1 << 16
 #: Bytes of text that are cut into n-grams at once.
 PART = 4 << 20
+#: Classes whose ids may be broadcast, two numbers each.
+FEW = 50_000
 #: Members of a hub that are intersected in one group.
 SPREAD = 512
 
@@ -222,7 +224,10 @@ def _verified(pairs: DataFrame, docs: DataFrame, reps: DataFrame, n: int, percen
     members = spread.select(F.col("b").alias("cls"), "a", "salt", F.lit(1).alias("role"))
     hubs = groups.select(F.col("a").alias("cls"), "a", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias("salt"), F.lit(0).alias("role"))
     asked = members.unionByName(hubs)
-    wanted = asked.select("cls").distinct().join(reps, "cls").select("rep", "cls")
+    wanted = asked.select("cls").distinct().join(reps, "cls").select("rep", "cls").checkpoint()
+    # Two numbers a row: sent to the texts if few, as they are counted; else the texts are shuffled to them.
+    if wanted.count() <= FEW:
+        wanted = F.broadcast(wanted)
     texts = docs.select(F.col("doc_id").alias("rep"), "text").join(wanted, "rep").select("cls", "text")
 
     def arrays(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -309,24 +314,20 @@ def join(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     reps = known.filter("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("bits").alias("bits")).checkpoint()
     grams = first_grams(docs, n, percent, sketch(docs, n))
     hubs = grams.groupBy("gram").agg(F.min("cls").alias("hub"))
-    shared = grams.join(hubs, "gram").filter("cls <> hub").distinct().checkpoint()
+    shared = grams.join(hubs, "gram").filter("cls <> hub").checkpoint()
 
     stars = shared.select(F.col("hub").alias("a"), F.col("cls").alias("b")).distinct()
     stars = _bounded(_with_bits(_with_bits(stars, reps, "a", "a"), reps, "b", "b"), percent).checkpoint()
     links = _verified(stars, docs, reps, n, percent).checkpoint()
     first = components(links).checkpoint()
 
-    def component(rows: DataFrame, column: str, name: str) -> DataFrame:
-        named = first.select(F.col("node").alias(column), F.col("component").alias("_c"))
-        return rows.join(named, column, "left").withColumn(name, F.coalesce("_c", column)).drop("_c")
-
-    placed = component(component(shared, "cls", "component"), "hub", "hub_component").checkpoint()
-    torn = placed.filter("component <> hub_component").select("gram").distinct()
-    rest = placed.join(torn, "gram")
-    rest = rest.select("gram", "cls", "component").unionByName(
-        rest.select("gram", F.col("hub").alias("cls"), F.col("hub_component").alias("component"))
-    )
-    more = _tiled(rest.distinct().join(reps.select("cls", "n", "bits"), "cls"), percent)
+    # The pairs with the hub were tested; what is left are pairs of other classes at an n-gram, if in different components.
+    several = shared.groupBy("gram").agg(F.min("cls").alias("low"), F.max("cls").alias("high")).filter("low < high").select("gram")
+    rest = shared.select("gram", "cls").join(several, "gram").distinct()
+    named = first.select(F.col("node").alias("cls"), "component")
+    placed = rest.join(named, "cls", "left").withColumn("component", F.coalesce("component", "cls")).checkpoint()
+    torn = placed.groupBy("gram").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("gram")
+    more = _tiled(placed.join(torn, "gram").join(reps.select("cls", "n", "bits"), "cls"), percent)
     tested = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     more = more.join(tested, ["a", "b"], "left_anti").checkpoint()
     more = _verified(more, docs, reps, n, percent)
