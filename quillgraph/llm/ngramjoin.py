@@ -29,8 +29,8 @@ from quillgraph.llm.components import components
 from quillgraph.llm.rolling import Ranges, buffer, mix
 from quillgraph.sources.shared import shared_dir
 
-#: Cells of the sketch of n-gram frequencies; its size does not grow with the corpus.
-SKETCH = 1 << 16
+#: Cells of the sketch of n-gram frequencies and of a block of it; its size does not grow with the corpus.
+SKETCH, CELLS = 1 << 20, 1 << 12
 #: Bytes of text that are cut into n-grams at once.
 PART = 4 << 20
 #: Classes whose ids may be broadcast, two numbers each.
@@ -91,23 +91,40 @@ def sets(texts: pa.Array, n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def sketch(docs: DataFrame, n: int) -> np.ndarray:
-    """How frequent n-grams are, by the cell of their hash: 0 for most, more where a cell holds many times the mean."""
+    """How frequent n-grams are, by the cell of their hash: 0 for most, more the further a cell is above the mean.
+
+    Tasks send their counts in blocks, which are added up block by block.
+    """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(SKETCH, dtype=np.int64)
+        total = np.zeros(SKETCH, dtype=np.uint32)
         for batch in batches:
             for start, stop in slices(batch.column("text"), PART):
                 made, _ = ngrams(batch.column("text").slice(start, stop - start), n)
-                total += np.bincount((made & np.uint64(SKETCH - 1)).astype(np.int64), minlength=SKETCH)
-        cells = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(cells, pa.int32()), pa.array(total[cells], pa.int64())], ["cell", "n"])
+                total += np.bincount((made & np.uint64(SKETCH - 1)).astype(np.int64), minlength=SKETCH).astype(np.uint32)
+        if total.any():
+            yield _blocks({i: total[i * CELLS : (i + 1) * CELLS] for i in range(SKETCH // CELLS)})
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for block, counts in zip(batch.column("block").to_pylist(), batch.column("counts").to_pylist(), strict=True):
+                sums[block] = sums.get(block, 0) + np.frombuffer(counts, dtype="<u8" if len(counts) == 8 * CELLS else "<u4").astype(np.uint64)
+        if sums:
+            yield _blocks(sums)
 
-    rows = docs.select("text").mapInArrow(count, "cell int, n bigint").groupBy("cell").agg(F.sum("n").alias("n")).collect()
+    schema = "block int, counts binary"
+    rows = docs.select("text").mapInArrow(count, schema).repartition("block").mapInArrow(add, schema).collect()
     counts = np.zeros(SKETCH)
     for row in rows:
-        counts[row["cell"]] = row["n"]
-    mean = max(4.0, counts.mean())
-    return np.where(counts >= 4 * mean, np.log2(np.maximum(counts, 1) / mean), 0).astype(np.uint8)
+        counts[row["block"] * CELLS : (row["block"] + 1) * CELLS] = np.frombuffer(row["counts"], dtype="<u8")
+    above = (counts - counts.mean()) / max(1.0, float(np.sqrt(counts.mean())))
+    return np.where(above >= 4, np.log2(np.maximum(above, 4)) - 1, 0).astype(np.uint8)
+
+
+def _blocks(counts: dict[int, np.ndarray]) -> pa.RecordBatch:
+    bodies = pa.array([x.tobytes() for x in counts.values()], pa.binary())
+    return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.int32()), bodies], ["block", "counts"])
 
 
 def bitmap(hashes: np.ndarray) -> bytes:
