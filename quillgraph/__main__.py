@@ -30,6 +30,7 @@ def parser() -> argparse.ArgumentParser:
     rank.add_argument("--tax", type=float)
     rank.add_argument("--k", type=int, default=10)
     rank.add_argument("--compat", action="store_true")
+    rank.add_argument("--out", help="write all pages there as text instead of printing the best")
     bomb = program("link-bomb", "links", "titles", "keyword", "target")
     bomb.add_argument("--copies", type=int, default=5)
     bomb.add_argument("--k", type=int, default=10)
@@ -50,8 +51,13 @@ PROGRAMS = {
 def main(arguments: Sequence[str] | None = None) -> None:
     options = vars(parser().parse_args(arguments))
     program = PROGRAMS[options.pop("program")]
+    out = options.pop("out") if program is jobs.ranked_pages else None
+    if out is not None:
+        options["k"] = None
     result = program(SparkSession.builder.appName("quillgraph").getOrCreate(), **options)
-    if isinstance(result, DataFrame):
+    if out is not None:
+        result.write.text(out)
+    elif isinstance(result, DataFrame):
         # A ranked list has k lines.
         for row in result.collect():
             print(row.line)

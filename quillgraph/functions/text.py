@@ -59,8 +59,9 @@ def split_char(text: Column, separator: str) -> Column:
 
 def sentences(text: Column) -> Column:
     """Pieces between a period followed by white space, without empty ones at the end."""
-    mark = r"\." + WHITE
-    return _pieces(text, F.regexp_replace(text, f"({mark})+\\z", ""), mark)
+    pieces = F.split(text, r"\." + WHITE)
+    kept = F.array_max(F.transform(pieces, lambda piece, i: F.when(piece != "", i + 1).otherwise(0)))
+    return F.when(text == "", F.array(F.lit(""))).otherwise(F.slice(pieces, F.lit(1), kept))
 
 
 def _pieces(text: Column, body: Column, separator: str) -> Column:

@@ -48,8 +48,8 @@ def pagerank(
     a round partitioned the same way, so a round shuffles the contributions
     only, after they were combined per task. Sources that hold a large share
     of the links stay out of that layout and meet their ranks, at most
-    ``HOT_KEYS`` rows, by broadcast. Every ``checkpoint_every`` rounds the
-    ranks are checkpointed to the shared folder.
+    ``HOT_KEYS`` rows, by broadcast. Every ``checkpoint_every`` rounds, with
+    such sources every round, the ranks are checkpointed to the shared folder.
     """
     shared_dir(edges.sparkSession)
     held: list[DataFrame] = []
@@ -108,7 +108,8 @@ def _rounds(
         total = F.sum("part")
         rank = total if tax is None else F.lit(tax) + F.lit(1.0 - tax) * total
         ranks = sent.groupBy("page_id").agg(rank.alias("rank"))
-        if done % checkpoint_every == 0 and done < iterations:
+        # With hubs a round reads the ranks twice, so they are computed once and kept.
+        if done < iterations and (hot is not None or done % checkpoint_every == 0):
             ranks = ranks.checkpoint()
     return ranks.checkpoint()
 
@@ -130,13 +131,14 @@ def with_titles(ranks: DataFrame, pages: DataFrame) -> DataFrame:
     return ranks.join(pages, "page_id").select("page_id", "title", "rank")
 
 
-def top_pages(ranks: DataFrame, pages: DataFrame, k: int = 10, compat: bool = False) -> DataFrame:
-    """The ``k`` best pages with their title, by rank descending.
+def top_pages(ranks: DataFrame, pages: DataFrame, k: int | None = 10, compat: bool = False) -> DataFrame:
+    """The ``k`` best pages with their title, by rank descending; all of them if ``k`` is None.
 
     ``compat`` compares the ranks as text instead of as numbers.
     """
     order = F.col("rank").cast("string") if compat else F.col("rank")
-    return with_titles(ranks, pages).orderBy(order.desc(), "page_id").limit(k)
+    ranked = with_titles(ranks, pages).orderBy(order.desc(), "page_id")
+    return ranked if k is None else ranked.limit(k)
 
 
 def search_titles(pages: DataFrame, keyword: str) -> DataFrame:

@@ -5,9 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Rows that one key may bring to one task. Keys above it are hot; of those the
-# HOT_KEYS largest are split, which bounds what is broadcast. Any key beyond
-# them holds less than 1 / HOT_KEYS of all rows and needs no split.
+# Rows that one key may bring to one task. Keys above it are hot, if they also
+# hold more than a HOT_KEYS-th of all rows, of which there are fewer than HOT_KEYS.
 HOT_ROWS = 1_000_000
 HOT_KEYS = 500_000
 
@@ -15,17 +14,19 @@ HOT_KEYS = 500_000
 def hot_keys(
     dims: DataFrame, key: Column, rows: str, hot_rows: int | None = None, hot_keys: int | None = None
 ) -> DataFrame:
-    """The hot keys of a table with one row per key, at most ``hot_keys`` rows ``(key, parts)``.
+    """The hot keys of a table with one row per key, fewer than ``hot_keys`` rows ``(key, parts)``.
 
     ``rows`` names the row count of each key, ``parts`` says into how many
-    parts the key should be split. The order is total, so every use of the
-    result picks the same keys.
+    parts the key should be split. A key is hot with more than ``hot_rows``
+    rows and more than a ``hot_keys``-th of all, so the list is bounded and
+    holds every key that is.
     """
     per_part = HOT_ROWS if hot_rows is None else hot_rows
     most = HOT_KEYS if hot_keys is None else hot_keys
+    total = dims.agg(F.sum(rows).alias("total")).scalar()
     hot = dims.filter(F.col(rows) > per_part).groupBy(key.alias("key")).agg(F.max(rows).alias("size"))
-    largest = hot.orderBy(F.desc("size"), "key").limit(most)
-    return largest.select("key", F.ceil(F.col("size") / per_part).cast("int").alias("parts"))
+    hot = hot.filter(F.col("size") > total / F.lit(most))
+    return hot.select("key", F.ceil(F.col("size") / per_part).cast("int").alias("parts"))
 
 
 def salted_join(

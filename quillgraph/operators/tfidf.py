@@ -25,8 +25,8 @@ def doc_freq(tokens: DataFrame) -> DataFrame:
 
 
 def corpus_size(articles: DataFrame) -> DataFrame:
-    """Number of article records with a text, as one row ``(n_docs)``."""
-    return articles.filter("text <> ''").agg(F.count("*").alias("n_docs"))
+    """Number of article records with an id and a text, as one row ``(n_docs)``."""
+    return articles.filter("text <> '' and doc_id is not null").agg(F.count("*").alias("n_docs"))
 
 
 def idf(tokens: DataFrame, articles: DataFrame, **skew) -> DataFrame:

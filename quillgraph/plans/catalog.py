@@ -151,14 +151,13 @@ def summaries_compat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def link_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One link line per line item: the order names its part, the supplier and the part again.
+    """One link line per line item: the part names its supplier, itself and the supplier again.
 
-    Open lines carry no targets, and what follows a second colon is no link.
+    A part meets its suppliers again and again, so lines repeat; what follows a second colon is no link.
     """
-    part = F.col("l_partkey").cast("string")
-    targets = F.concat(F.lit(" "), part, F.lit(" "), F.col("l_suppkey").cast("string"), F.lit(" "), part, F.lit("\t"))
-    listed = F.when(F.col("l_linestatus") == "O", F.lit("  ")).otherwise(targets)
-    line = F.concat(F.col("l_orderkey").cast("string"), F.lit(":"), listed, F.lit(":"), F.col("l_linenumber").cast("string"))
+    part, supplier = F.col("l_partkey").cast("string"), F.col("l_suppkey").cast("string")
+    targets = F.concat(F.lit(" "), supplier, F.lit(" "), part, F.lit(" "), supplier, F.lit("\t"))
+    line = F.concat(part, F.lit(":"), targets, F.lit(":"), F.col("l_linenumber").cast("string"))
     return table(spark, sf_dir, "lineitem").select(line.alias("value"))
 
 
@@ -195,6 +194,11 @@ def pagerank_keep_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranks.select("page_id", rounded("rank"))
 
 
+def pagerank_hubs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``pagerank_taxed``, with the pages of over 20 links treated as hubs."""
+    return qg.pagerank(links(spark, sf_dir), tax=0.15, hot_rows=20).select("page_id", rounded("rank"))
+
+
 def with_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = qg.pagerank(links(spark, sf_dir), tax=0.15)
     return qg.with_titles(ranks, pages(spark, sf_dir)).select("page_id", "title", rounded("rank"))
@@ -212,6 +216,11 @@ def top_pages_taxed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _top(qg.pagerank(links(spark, sf_dir), tax=0.15), pages(spark, sf_dir))
 
 
+def ranked_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages with a title, in the order of their ranks."""
+    return _top(qg.pagerank(links(spark, sf_dir), tax=0.15), pages(spark, sf_dir), k=None)
+
+
 def top_pages_compat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _top(qg.pagerank(links(spark, sf_dir), tax=0.15), pages(spark, sf_dir), compat=True)
 
@@ -252,8 +261,10 @@ def link_bomb_top(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def running_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    schema = table(spark, sf_dir, "documents").schema
-    stream = spark.readStream.schema(schema).option("pathGlobFilter", "documents.parquet").parquet(sf_dir)
+    """The documents as a stream of four files, one micro-batch each."""
+    docs, arrived = table(spark, sf_dir, "documents"), qg.work_path(spark, "arrived")
+    docs.repartition(4).write.parquet(arrived)
+    stream = spark.readStream.schema(docs.schema).option("maxFilesPerTrigger", 1).parquet(arrived)
     state = qg.work_path(spark, "running-word-count")
     qg.run_word_count(qg.running_word_count(qg.explode_lines(stream)), state)
     return qg.read_word_count(spark, state)
@@ -262,7 +273,7 @@ def running_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 def weights_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """TF·IDF as a tab-separated text and back."""
     path = qg.work_path(spark, "weights")
-    qg.write_tsv(qg.tf_idf(documents(spark, sf_dir)), path, partitions=20)
+    qg.write_tsv(qg.tf_idf(documents(spark, sf_dir)), path, partitions=20, key=["doc_id"])
     weights = qg.read_weights(spark, path, name="tfidf")
     return weights.select(F.col("doc_id").cast("bigint").alias("doc_id"), "unigram", rounded("tfidf"))
 
@@ -340,9 +351,11 @@ QUERIES: dict[str, Query] = {
         pagerank_ideal,
         pagerank_taxed,
         pagerank_keep_all,
+        pagerank_hubs,
         with_titles,
         top_pages_ideal,
         top_pages_taxed,
+        ranked_pages,
         top_pages_compat,
         ranked_lines,
         title_search,

@@ -48,9 +48,9 @@ def summaries(spark: SparkSession, weights: str, articles: str, out: str) -> Non
 
 
 def ranked_pages(
-    spark: SparkSession, links: str, titles: str, tax: float | None = None, k: int = 10, compat: bool = False
+    spark: SparkSession, links: str, titles: str, tax: float | None = None, k: int | None = 10, compat: bool = False
 ) -> DataFrame:
-    """The best pages of a link file by PageRank, as lines ``rank - title``."""
+    """The best pages of a link file by PageRank, all if ``k`` is None, as lines ``rank - title``."""
     edges = qg.parse_links(qg.read_lines(spark, links))
     pages = qg.number_lines(qg.read_lines(spark, titles))
     return qg.format_ranked(qg.top_pages(qg.pagerank(edges, tax=tax), pages, k, compat))

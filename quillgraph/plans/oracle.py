@@ -159,7 +159,7 @@ BOMB = f"{KEPT},\nbombed AS MATERIALIZED ({injected('kept')}),{ranks('bombed', '
 
 LINKS = """
 link_lines AS (
-  SELECT l_orderkey AS src, l_partkey AS part, l_suppkey AS supp FROM lineitem WHERE l_linestatus <> 'O'
+  SELECT l_partkey AS src, l_suppkey AS part, l_partkey AS supp FROM lineitem
 )"""
 
 COUNT_LINKS = """
@@ -184,7 +184,7 @@ TERM_FREQ = "SELECT doc_id, unigram, n, round(tf, 6) AS tf FROM ({}) AS f"
 TFIDF = "SELECT doc_id, unigram, round(tfidf, 6) AS tfidf FROM weights"
 RANKS = "SELECT page_id, round(rank, 6) AS rank FROM ranks"
 EDGES = "SELECT src, dst, count(*) AS n FROM {} AS e GROUP BY src, dst"
-DISTINCT_LINKS = "(SELECT DISTINCT l_orderkey AS src, l_partkey AS part, l_suppkey AS supp, l_linenumber FROM lineitem WHERE l_linestatus <> 'O')"
+DISTINCT_LINKS = "(SELECT DISTINCT l_partkey AS src, l_suppkey AS part, l_partkey AS supp FROM lineitem)"
 BOMB_PAGES = "(SELECT * FROM pages WHERE page_id IN (SELECT page_id FROM hits UNION SELECT page_id FROM target)) AS named"
 FLAT = r"regexp_replace(text, '[\r\n]+', ' ', 'g')"
 
@@ -222,6 +222,12 @@ ORACLE: dict[str, str] = {
     "pagerank_ideal": query(IDEAL, RANKS, recursive=True),
     "pagerank_taxed": query(TAXED, RANKS, recursive=True),
     "pagerank_keep_all": query(KEEP_ALL, RANKS, recursive=True),
+    "pagerank_hubs": query(TAXED, RANKS, recursive=True),
+    "ranked_pages": query(
+        TAXED,
+        "SELECT page_id, title, round(rank, 6) AS rank FROM ranks JOIN pages USING (page_id) ORDER BY ranks.rank DESC, page_id",
+        recursive=True,
+    ),
     "with_titles": query(
         TAXED, "SELECT page_id, title, round(rank, 6) AS rank FROM ranks JOIN pages USING (page_id)", recursive=True
     ),

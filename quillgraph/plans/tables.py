@@ -5,22 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# A table below this size is dealt out over all cores before its text is cut
-# up. Small files hold one row group, which one task would read alone; large
-# inputs bring more splits than cores and are left where they are.
-SPREAD_BELOW = 1 << 30
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The corpus: ``(doc_id, text, source)``."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{sf_dir}/documents.parquet")
-    size = files.agg(F.sum("length")).first()[0] or 0
-    return docs.repartition(spark.sparkContext.defaultParallelism) if size < SPREAD_BELOW else docs
+    return table(spark, sf_dir, "documents").select("doc_id", "text", "source")
 
 
 def links(spark: SparkSession, sf_dir: str) -> DataFrame:

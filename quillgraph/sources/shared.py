@@ -19,7 +19,7 @@ def shared_dir(spark: SparkSession) -> str:
     context = spark.sparkContext
     folder = spark.conf.get(SETTING, None)
     if folder is None and context.getCheckpointDir() is None:
-        if not context.master.startswith("local"):
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
             raise RuntimeError(f"set {SETTING} to a folder shared by the cluster")
         folder = tempfile.mkdtemp(prefix="quillgraph-")
     if context.getCheckpointDir() is None:

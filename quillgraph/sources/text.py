@@ -13,9 +13,6 @@ FIELD_MARK = "<====>"
 
 MODES = ("DROPMALFORMED", "FAILFAST")
 
-# Largest number of input blocks whose offsets are broadcast to number lines.
-MAX_BROADCAST_BLOCKS = 200_000
-
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """One row ``(value)`` per line."""
@@ -51,7 +48,8 @@ def parse_links(
     A repeated target gives parallel links. ``dedupe`` drops a line that
     repeats another one for the same page exactly. ``compat`` keeps the empty
     targets that a run of blanks makes, as links to no page (a null target):
-    they count in the out-degree and lead nowhere.
+    they count in the out-degree and lead nowhere. So do targets that are no
+    number; a line without a page is dropped.
     """
     line = F.col(col)
     body = F.rtrim(line, F.lit(":"))
@@ -65,8 +63,8 @@ def parse_links(
     if not compat:
         listed = listed.filter("target <> ''")
     target = F.when(F.col("target") != "", _page_id(F.col("target"), mode))
-    edges = listed.select(_page_id(F.col("page"), mode).alias("src"), target.alias("dst"), "target")
-    return edges.filter("src is not null and (dst is not null or target = '')").select("src", "dst")
+    edges = listed.select(_page_id(F.col("page"), mode).alias("src"), target.alias("dst"))
+    return edges.filter("src is not null")
 
 
 def number_lines(lines: DataFrame) -> DataFrame:
@@ -96,8 +94,6 @@ def number_lines(lines: DataFrame) -> DataFrame:
         .join(files, "file")
         .select("file", "block", (F.col("before_file") + F.col("before_block") - F.col("first")).alias("shift"))
     )
-    if blocks.count() <= MAX_BROADCAST_BLOCKS:
-        offsets = F.broadcast(offsets)
     return frozen.join(offsets, ["file", "block"]).select((F.col("seq") + F.col("shift") + 1).alias("page_id"), "title")
 
 

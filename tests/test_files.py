@@ -31,12 +31,13 @@ LINKS = ["1: 2 3 2", "1: 2 3 2", "1: 4", "2:\t5 \x01", "3:  ", "4:", "5", "6: 7
 
 
 def test_links(spark):
-    got = sorted(map(tuple, qg.parse_links(frame(spark, LINKS)).collect()))
-    assert got == [(1, 2), (1, 2), (1, 3), (1, 4), (2, 5), (6, 7), (7, 9), (8, 1), (8, 2)]
+    got = sorted(map(tuple, qg.parse_links(frame(spark, LINKS)).collect()), key=lambda e: (e[0], e[1] or 0))
+    # "y" is no page, but the line lists it: it counts in the out-degree.
+    assert got == [(1, 2), (1, 2), (1, 3), (1, 4), (2, 5), (6, 7), (7, None), (7, 9), (8, 1), (8, 2)]
     every = qg.parse_links(frame(spark, LINKS), dedupe=False)
     assert every.count() == len(got) + 3
     literal = qg.parse_links(frame(spark, LINKS), compat=True)
-    assert dict(qg.out_degree(literal).collect()) == {1: 4, 2: 1, 3: 1, 6: 1, 7: 1, 8: 3}
+    assert dict(qg.out_degree(literal).collect()) == {1: 4, 2: 1, 3: 1, 6: 1, 7: 2, 8: 3}
     for bad in ("4:", "5", "x: 1", "7: y"):
         with pytest.raises(PySparkException):
             qg.parse_links(frame(spark, [bad]), mode="FAILFAST").collect()
@@ -59,11 +60,23 @@ def test_numbering_across_blocks_and_files(spark, tmp_path):
     assert [tuple(r) for r in got] == list(enumerate(lines, 1))
 
 
-def test_numbering_beyond_the_broadcast_limit(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr("quillgraph.sources.text.MAX_BROADCAST_BLOCKS", 0)
-    (tmp_path / "t.txt").write_text("x\n\ny")
-    got = qg.number_lines(qg.read_lines(spark, str(tmp_path / "t.txt"))).orderBy("page_id").collect()
-    assert [tuple(r) for r in got] == [(1, "x"), (2, ""), (3, "y")]
+def test_a_bad_target_counts_in_the_out_degree(spark):
+    lines = spark.createDataFrame([("1: 2 x 3",), ("y: 4",)], "value string")
+    edges = qg.parse_links(lines)
+    assert sorted(map(tuple, edges.collect()), key=str) == [(1, 2), (1, 3), (1, None)]
+    assert [tuple(r) for r in qg.out_degree(edges).collect()] == [(1, 3)]
+
+
+def test_tsv_by_key_hash(spark, tmp_path):
+    df = spark.createDataFrame([(f"d{i % 7}", f"u{i:03}") for i in range(200)], "doc_id string, unigram string")
+    qg.write_tsv(df, str(tmp_path / "t"), partitions=5, key=["doc_id"])
+    owners: dict[str, str] = {}
+    for part in glob.glob(str(tmp_path / "t" / "part-*")):
+        lines = open(part, encoding="utf-8").read().splitlines()
+        assert lines == sorted(lines)
+        for line in lines:
+            assert owners.setdefault(line.split("\t")[0], part) == part
+    assert len(owners) == 7
 
 
 def test_weights_survive_the_text(spark, tmp_path):

@@ -120,3 +120,15 @@ def test_link_bomb(spark, pages):
     assert listed[0].page_id == 3 and {r.page_id for r in listed} <= {1, 2, 3, 5}
     plain = rank_map(qg.link_bomb(edges, pages, "surfing", "Rocky Park", copies=0))
     assert plain == pytest.approx(model.pagerank(kept, 25, 0.15))
+
+
+def test_hubs_over_many_rounds(spark):
+    rows = [(i % 9, i * 7 % 31) for i in range(120)]
+    edges = spark.createDataFrame(rows, "src bigint, dst bigint")
+    plain = qg.pagerank(edges, iterations=10, tax=0.15, checkpoint_every=10)
+    hubs = qg.pagerank(edges, iterations=10, tax=0.15, checkpoint_every=10, hot_rows=2)
+    expected = {r.page_id: round(r["rank"], 9) for r in plain.collect()}
+    assert {r.page_id: round(r["rank"], 9) for r in hubs.collect()} == expected
+    pages = spark.createDataFrame([(i, f"t{i}") for i in range(31)], "page_id bigint, title string")
+    ranked = [r["rank"] for r in qg.top_pages(hubs, pages, k=None).collect()]
+    assert len(ranked) == len(expected) and ranked == sorted(ranked, reverse=True)

@@ -62,6 +62,12 @@ def test_long_tail_of_separators(spark):
     assert qg.split_sentences(df).collect() == [("d", 0, "a")]
 
 
+def test_long_run_of_separators_before_a_word(spark):
+    df = spark.createDataFrame([("d", "a" + ". " * 300_000 + "b"), ("e", ". " * 3), ("f", "")], "doc_id string, text string")
+    got = qg.split_sentences(df).filter("sentence <> '' or doc_id <> 'd'").collect()
+    assert [tuple(r) for r in got] == [("d", 0, "a"), ("d", 300_000, "b"), ("f", 0, "")]
+
+
 def test_raw_words_keep_inner_blanks(spark):
     lines = ["", "   ", " a", "a  b  ", "HI, HI, hi"]
     df = spark.createDataFrame([(line,) for line in lines], "value string")
