@@ -5,9 +5,9 @@ one class. Two sets that are similar enough share one of their first n-grams
 in any common order. The order puts n-grams that are frequent in the corpus
 last, so that a line in a third of all documents brings nothing together.
 
-1. Every class is held against the smallest class at each of its first
-   n-grams, which joins groups of near copies by a number of pairs in
-   proportion to their size.
+1. The smallest class at an n-gram is its hub. Every class is held against
+   the hub it meets most often, which joins groups of near copies by one pair
+   a class, then against its other hubs that are in other components.
 2. Where other classes at an n-gram are still in different components, they
    meet in tiles of neighbouring size bands, so that no link is lost.
 
@@ -275,6 +275,17 @@ def _verified(pairs: DataFrame, docs: DataFrame, reps: DataFrame, n: int, percen
     return met.select("a", "salt", "cls", "role", "held").mapInArrow(intersect, "a bigint, b bigint").distinct()
 
 
+def _possible(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
+    """The pairs ``(a, b)`` that sizes and bitmaps allow, kept."""
+    return _bounded(_with_bits(_with_bits(pairs, reps, "a", "a"), reps, "b", "b"), percent).checkpoint()
+
+
+def _in_components(rows: DataFrame, known: DataFrame, cls: str, name: str) -> DataFrame:
+    """Adds the component of a class, itself if it has no links."""
+    named = known.select(F.col("node").alias(cls), F.col("component").alias(name))
+    return rows.join(named, cls, "left").withColumn(name, F.coalesce(name, cls))
+
+
 def _with_bits(rows: DataFrame, reps: DataFrame, cls: str, tag: str) -> DataFrame:
     known = reps.select(F.col("cls").alias(cls), F.col("n").alias(f"n_{tag}"), F.col("bits").alias(f"bits_{tag}"))
     return rows.join(known, cls)
@@ -333,19 +344,26 @@ def join(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     hubs = grams.groupBy("gram").agg(F.min("cls").alias("hub"))
     shared = grams.join(hubs, "gram").filter("cls <> hub").checkpoint()
 
-    stars = shared.select(F.col("hub").alias("a"), F.col("cls").alias("b")).distinct()
-    stars = _bounded(_with_bits(_with_bits(stars, reps, "a", "a"), reps, "b", "b"), percent).checkpoint()
-    links = _verified(stars, docs, reps, n, percent).checkpoint()
+    # One pair a class: with the hub that it meets at most of its n-grams.
+    counted = shared.groupBy("cls", "hub").agg(F.count("*").alias("n"))
+    stars = counted.groupBy(F.col("cls").alias("b")).agg(F.max_by("hub", F.struct("n", "hub")).alias("a"))
+    stars = stars.select("a", "b").checkpoint()
+    links = _verified(_possible(stars, reps, percent), docs, reps, n, percent).checkpoint()
     first = components(links).checkpoint()
 
-    # The pairs with the hub were tested; what is left are pairs of other classes at an n-gram, if in different components.
-    several = shared.groupBy("gram").agg(F.min("cls").alias("low"), F.max("cls").alias("high")).filter("low < high").select("gram")
-    rest = shared.select("gram", "cls").join(several, "gram").distinct()
-    named = first.select(F.col("node").alias("cls"), "component")
-    placed = rest.join(named, "cls", "left").withColumn("component", F.coalesce("component", "cls")).checkpoint()
-    torn = placed.groupBy("gram").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("gram")
-    more = _tiled(placed.join(torn, "gram").join(reps.select("cls", "n", "bits"), "cls"), percent)
-    tested = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    # Then the pairs with other hubs, where they are not in one component already.
+    placed = _in_components(_in_components(shared, first, "cls", "own"), first, "hub", "other").checkpoint()
+    apart = placed.filter("own <> other").select(F.col("hub").alias("a"), F.col("cls").alias("b")).distinct()
+    apart = apart.join(stars, ["a", "b"], "left_anti").checkpoint()
+    links = links.unionByName(_verified(_possible(apart, reps, percent), docs, reps, n, percent)).checkpoint()
+    second = components(links).checkpoint()
+
+    # What is left are pairs of other classes at an n-gram, if in different components.
+    torn = placed.groupBy("gram").agg(F.min("own").alias("low"), F.max("own").alias("high")).filter("low < high").select("gram")
+    rest = _in_components(placed.join(torn, "gram").select("gram", "cls").distinct(), second, "cls", "component").checkpoint()
+    torn = rest.groupBy("gram").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("gram")
+    more = _tiled(rest.join(torn, "gram").join(reps.select("cls", "n", "bits"), "cls"), percent)
+    tested = stars.unionByName(apart).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     more = more.join(tested, ["a", "b"], "left_anti").checkpoint()
     more = _verified(more, docs, reps, n, percent)
 

@@ -36,7 +36,7 @@ from quillgraph.llm.common import reach_workers, shuffle_width, slices
 
 KIND_WORDS, KIND_DOC = 0, 1
 #: Bytes of text whose distinct words are numbered together.
-CHUNK = 16 << 20
+CHUNK = 8 << 20
 
 #: Texts of these characters only are split by a pattern, any others by the tokenizer itself.
 PLAIN = r"\t\n\r -~¡-ɏ–-…"
