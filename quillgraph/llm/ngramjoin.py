@@ -5,14 +5,17 @@ one class. Two sets that are similar enough share one of their first n-grams
 in any common order. The order puts n-grams that are frequent in the corpus
 last, so that a line in a third of all documents brings nothing together.
 
-1. The smallest class at an n-gram is its hub. Every class is held against
-   the hub it meets most often, which joins groups of near copies by one pair
-   a class, then against its other hubs that are in other components.
+1. The class that has an n-gram earliest in its order is the n-gram's hub.
+   Every class is held against the hub it meets most often, which joins groups
+   of near copies by one pair a class, then against its other hubs that are in
+   other components.
 2. Where other classes at an n-gram are still in different components, they
    meet in tiles of neighbouring size bands, so that no link is lost.
 
-In both, the hashed bitmaps of a pair bound its overlap from above before the
-sorted arrays are intersected.
+A pair is looked at only at n-grams whose places in both sets leave room for
+enough overlap behind them, as the first n-gram that linked sets share always
+does. Then the hashed bitmaps of the pair bound its overlap from above before
+the sorted arrays are intersected.
 """
 
 from __future__ import annotations
@@ -21,7 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillgraph.llm.common import reach_workers, slices
@@ -35,6 +38,8 @@ SKETCH, CELLS = 1 << 20, 1 << 12
 PART = 4 << 20
 #: Classes whose ids may be broadcast, two numbers each.
 FEW = 50_000
+#: Rows of a tile that are compared at once with those before them.
+ROWS = 64
 #: Members of a hub that are intersected in one group.
 SPREAD = 512
 
@@ -192,7 +197,10 @@ def class_names(made: np.ndarray, begins: np.ndarray) -> np.ndarray:
 
 
 def first_grams(docs: DataFrame, n: int, percent: int, frequent: np.ndarray) -> DataFrame:
-    """``(gram, cls)``: the first n-grams of each set, of which similar sets share one."""
+    """``(gram, cls, place)``: the first n-grams of each set, of which similar sets share one.
+
+    ``place`` is the n-gram's position in the common order, with the set's size in the lower 32 bits.
+    """
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -201,7 +209,7 @@ def first_grams(docs: DataFrame, n: int, percent: int, frequent: np.ndarray) ->
                 name, sizes = class_names(made, begins), np.diff(begins)
                 # a class has its n-grams once in a part
                 _, once = np.unique(name, return_index=True)
-                grams, owners = [], []
+                grams, owners, places = [], [], []
                 for i in once.tolist():
                     size = int(sizes[i])
                     if size:
@@ -210,12 +218,28 @@ def first_grams(docs: DataFrame, n: int, percent: int, frequent: np.ndarray) ->
                         count = size - (percent * size + 99) // 100 + 1
                         grams.append((own[np.argsort(late, kind="stable")] if late.any() else own)[:count])
                         owners.append(np.full(count, name[i]))
+                        places.append((np.arange(count, dtype=np.int64) << 32) + size)
                 if grams:
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.concatenate(grams).view(np.int64), pa.int64()), pa.array(np.concatenate(owners), pa.int64())], ["gram", "cls"]
+                        [pa.array(x, pa.int64()) for x in (np.concatenate(grams).view(np.int64), np.concatenate(owners), np.concatenate(places))],
+                        ["gram", "cls", "place"],
                     )
 
-    return docs.select("text").mapInArrow(make, "gram bigint, cls bigint")
+    return docs.select("text").mapInArrow(make, "gram bigint, cls bigint, place bigint")
+
+
+def with_hubs(grams: DataFrame) -> DataFrame:
+    """Adds each n-gram's hub and the hub's place: the class that has it earliest, of several one by their hashes."""
+    earliest = F.shiftleft(F.least(F.shiftright("place", 32), F.lit((1 << 20) - 1)), 43).bitwiseOR(F.col("cls").bitwiseAND((1 << 43) - 1))
+    hubs = grams.withColumn("key", earliest).groupBy("gram").agg(F.min_by("cls", "key").alias("hub"), F.min_by("place", "key").alias("hub_place"))
+    return grams.join(hubs, "gram")
+
+
+def room(a: Column, b: Column, percent: int) -> Column:
+    """Whether two sets whose first common n-gram has these places may overlap enough."""
+    size_a, size_b = a.bitwiseAND(0xFFFFFFFF), b.bitwiseAND(0xFFFFFFFF)
+    both = F.least(size_a - F.shiftright(a, 32), size_b - F.shiftright(b, 32))
+    return both * (100 + percent) >= (size_a + size_b) * percent
 
 
 def _bounded(pairs: DataFrame, percent: int) -> DataFrame:
@@ -294,8 +318,8 @@ def _with_bits(rows: DataFrame, reps: DataFrame, cls: str, tag: str) -> DataFram
 def _tiled(rows: DataFrame, percent: int) -> DataFrame:
     """Pairs ``(a, b)`` of different components that share an n-gram, within tiles of neighbouring size bands.
 
-    ``rows`` are ``(gram, cls, component, n, bits)``. A row stands in the tile
-    of its band, and as a guest in the next band's.
+    ``rows`` are ``(gram, cls, place, component, n, bits)``. A row stands in
+    the tile of its band, and as a guest in the next band's.
     """
     band = F.floor(F.log(F.col("n")) / F.log(F.lit(100 / percent)) + 1e-9).cast("int")
     native = rows.withColumns({"band": band, "guest": F.lit(0)})
@@ -303,25 +327,44 @@ def _tiled(rows: DataFrame, percent: int) -> DataFrame:
     tiles = native.unionByName(guests).repartition("gram", "band").sortWithinPartitions("gram", "band", "guest", "cls")
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tile, natives = None, []
+        tile, natives, bits = None, np.zeros((4, 0), dtype=np.int64), []
         for batch in batches:
-            found = []
-            columns = ("gram", "band", "guest", "cls", "component", "n", "bits")
-            for gram, at, guest, cls, component, n, bits in zip(*(batch.column(c).to_pylist() for c in columns), strict=True):
-                if (gram, at) != tile:
-                    tile, natives = (gram, at), []
-                for other, apart, size, places in natives:
-                    if apart != component and other != cls and may_link(n, bits, size, places, percent):
-                        found.append((min(cls, other), max(cls, other)))
-                if not guest:
-                    natives.append((cls, component, n, bits))
-            found = list(set(found))
+            gram, band, guest = (batch.column(c).to_numpy() for c in ("gram", "band", "guest"))
+            size, place = batch.column("n").to_numpy(), batch.column("place").to_numpy()
+            rows = np.stack([batch.column("cls").to_numpy(), batch.column("component").to_numpy(), size, size - (place >> 32)])
+            held = batch.column("bits").to_pylist()
+            found = set()
+            heads = np.flatnonzero((gram[1:] != gram[:-1]) | (band[1:] != band[:-1])) + 1
+            for start, stop in zip([0, *heads.tolist()], [*heads.tolist(), len(gram)], strict=True):
+                if (gram[start], band[start]) != tile:
+                    tile, natives, bits = (gram[start], band[start]), natives[:, :0], []
+                before = natives.shape[1]
+                own = start + int(np.count_nonzero(guest[start:stop] == 0))
+                natives, bits = np.concatenate([natives, rows[:, start:own]], axis=1), bits + held[start:own]
+                for at in range(start, stop, ROWS):
+                    part = rows[:, at : min(at + ROWS, stop)]
+                    for i, j in _close(part, natives, before + at - start, percent):
+                        cls, other = int(part[0, i]), int(natives[0, j])
+                        pair = (min(cls, other), max(cls, other))
+                        if pair not in found and may_link(int(part[2, i]), held[at + i], int(natives[2, j]), bits[j], percent):
+                            found.add(pair)
             yield pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], pa.int64()) for i in (0, 1)], ["a", "b"])
 
-    tiles = tiles.select("gram", "band", "guest", "cls", "component", "n", "bits")
+    tiles = tiles.select("gram", "band", "guest", "cls", "place", "component", "n", "bits")
     return tiles.mapInArrow(meet, "a bigint, b bigint").distinct()
 
 
+def _close(rows: np.ndarray, natives: np.ndarray, first: int, percent: int) -> Iterator[tuple[int, int]]:
+    """Indices of rows and of the tile's natives before them that are in other components and have room for a link.
+
+    Both are ``(cls, component, size, n-grams from the shared one on)``; ``first`` is the tile's number of the first row.
+    """
+    (cls, component, size, left), (others, apart, sizes, lefts) = rows[:, :, None], natives[:, None, :]
+    good = (component != apart) & (cls != others) & (np.arange(len(natives[0])) < first + np.arange(len(rows[0]))[:, None])
+    good &= np.minimum(left, lefts) * (100 + percent) >= (size + sizes) * percent
+    yield from zip(*(x.tolist() for x in np.nonzero(good)), strict=True)
+
+
 def join(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     """The component of every document: ``(doc_id, n_shingles, component_id)``.
 
@@ -341,11 +384,10 @@ def join(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     known = classes(docs, n).checkpoint()
     reps = known.filter("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("bits").alias("bits")).checkpoint()
     grams = first_grams(docs, n, percent, sketch(docs, n))
-    hubs = grams.groupBy("gram").agg(F.min("cls").alias("hub"))
-    shared = grams.join(hubs, "gram").filter("cls <> hub").checkpoint()
+    shared = with_hubs(grams).filter("cls <> hub").withColumn("near", room(F.col("place"), F.col("hub_place"), percent)).drop("hub_place").checkpoint()
 
     # One pair a class: with the hub that it meets at most of its n-grams.
-    counted = shared.groupBy("cls", "hub").agg(F.count("*").alias("n"))
+    counted = shared.filter("near").groupBy("cls", "hub").agg(F.count("*").alias("n"))
     stars = counted.groupBy(F.col("cls").alias("b")).agg(F.max_by("hub", F.struct("n", "hub")).alias("a"))
     stars = stars.select("a", "b").checkpoint()
     links = _verified(_possible(stars, reps, percent), docs, reps, n, percent).checkpoint()
@@ -353,14 +395,14 @@ def join(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
 
     # Then the pairs with other hubs, where they are not in one component already.
     placed = _in_components(_in_components(shared, first, "cls", "own"), first, "hub", "other").checkpoint()
-    apart = placed.filter("own <> other").select(F.col("hub").alias("a"), F.col("cls").alias("b")).distinct()
+    apart = placed.filter("near and own <> other").select(F.col("hub").alias("a"), F.col("cls").alias("b")).distinct()
     apart = apart.join(stars, ["a", "b"], "left_anti").checkpoint()
     links = links.unionByName(_verified(_possible(apart, reps, percent), docs, reps, n, percent)).checkpoint()
     second = components(links).checkpoint()
 
     # What is left are pairs of other classes at an n-gram, if in different components.
     torn = placed.groupBy("gram").agg(F.min("own").alias("low"), F.max("own").alias("high")).filter("low < high").select("gram")
-    rest = _in_components(placed.join(torn, "gram").select("gram", "cls").distinct(), second, "cls", "component").checkpoint()
+    rest = _in_components(placed.join(torn, "gram").select("gram", "cls", "place").distinct(), second, "cls", "component").checkpoint()
     torn = rest.groupBy("gram").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("gram")
     more = _tiled(rest.join(torn, "gram").join(reps.select("cls", "n", "bits"), "cls"), percent)
     tested = stars.unionByName(apart).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import random
 import re
 
 import numpy as np
@@ -77,6 +78,23 @@ def test_groups_lose_no_link(docs, n, percent):
     assert ngramjoin.join(docs, n, percent).count() == len(CORPUS)
 
 
+@pytest.mark.parametrize("base", [True, False])
+def test_copies_that_drift_apart(spark, base):
+    """A group whose members are mostly below the threshold: hubs settle few of them."""
+    rng = random.Random(7)
+    words = [f"w{rng.randrange(10**6)}" for _ in range(120)]
+    plain = [(0, " ".join(words))] if base else []
+    for i in range(1, 160):
+        own = list(words)
+        for at in rng.sample(range(120), rng.randint(1, 6)):
+            own[at] = f"e{rng.randrange(10**6)}"
+        plain.append((i, " ".join(own[: rng.choice([120, 120, 110])])))
+    got = ngramjoin.join(spark.createDataFrame(plain, "doc_id bigint, text string").repartition(4), 4, 85)
+    expected = similar_groups(plain, 4, 85)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got.collect()} == expected
+    assert 20 < len({c for _, c in expected.values()}) < 155
+
+
 def test_no_rows_no_groups(none):
     assert ngramjoin.join(none).count() == 0
 
