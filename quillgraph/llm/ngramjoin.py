@@ -310,6 +310,11 @@ def _in_components(rows: DataFrame, known: DataFrame, cls: str, name: str) -> Da
     return rows.join(named, cls, "left").withColumn(name, F.coalesce(name, cls))
 
 
+def _stars(known: DataFrame) -> DataFrame:
+    """Links ``(a, b)`` that join what the components join, one for each node but the smallest."""
+    return known.filter("node <> component").select(F.col("component").alias("a"), F.col("node").alias("b"))
+
+
 def _with_bits(rows: DataFrame, reps: DataFrame, cls: str, tag: str) -> DataFrame:
     known = reps.select(F.col("cls").alias(cls), F.col("n").alias(f"n_{tag}"), F.col("bits").alias(f"bits_{tag}"))
     return rows.join(known, cls)
@@ -390,15 +395,13 @@ def join(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     counted = shared.filter("near").groupBy("cls", "hub").agg(F.count("*").alias("n"))
     stars = counted.groupBy(F.col("cls").alias("b")).agg(F.max_by("hub", F.struct("n", "hub")).alias("a"))
     stars = stars.select("a", "b").checkpoint()
-    links = _verified(_possible(stars, reps, percent), docs, reps, n, percent).checkpoint()
-    first = components(links).checkpoint()
+    first = components(_verified(_possible(stars, reps, percent), docs, reps, n, percent)).checkpoint()
 
     # Then the pairs with other hubs, where they are not in one component already.
     placed = _in_components(_in_components(shared, first, "cls", "own"), first, "hub", "other").checkpoint()
     apart = placed.filter("near and own <> other").select(F.col("hub").alias("a"), F.col("cls").alias("b")).distinct()
     apart = apart.join(stars, ["a", "b"], "left_anti").checkpoint()
-    links = links.unionByName(_verified(_possible(apart, reps, percent), docs, reps, n, percent)).checkpoint()
-    second = components(links).checkpoint()
+    second = components(_stars(first).unionByName(_verified(_possible(apart, reps, percent), docs, reps, n, percent))).checkpoint()
 
     # What is left are pairs of other classes at an n-gram, if in different components.
     torn = placed.groupBy("gram").agg(F.min("own").alias("low"), F.max("own").alias("high")).filter("low < high").select("gram")
@@ -409,7 +412,7 @@ def join(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     more = more.join(tested, ["a", "b"], "left_anti").checkpoint()
     more = _verified(more, docs, reps, n, percent)
 
-    joined = components(links.unionByName(more)).withColumnsRenamed({"node": "cls", "component": "group"})
+    joined = components(_stars(second).unionByName(more)).withColumnsRenamed({"node": "cls", "component": "group"})
     named = known.join(joined, "cls", "left").withColumn("group", F.coalesce("group", "cls"))
     # Rows of one id belong together even if their texts differ.
     least = named.filter("group is not null").groupBy("group").agg(F.min("doc_id").alias("component_id"))
