@@ -32,7 +32,7 @@ from quillgraph.sources.shared import shared_dir
 #: Bytes of a repeated string, and of the pieces that are hashed for anchors.
 LENGTH, GRAM = 400, 100
 #: Bytes of text that are hashed at once, and suffixes of a batch.
-PART, BATCH = 4 << 20, 4096
+PART, BATCH = 1 << 20, 4096
 #: Different surroundings of one piece that one task compares; more are dealt out.
 HOT = 20_000
 #: Bits of the distance from a run's first start to its last and to its anchor, in one number with that start.
