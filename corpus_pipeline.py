@@ -38,12 +38,12 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Byte strings of 400 that also start elsewhere are cut out, characters cut in half with them.
+    """Passages of over 50 words and byte strings of 400 that also start elsewhere are cut out, characters cut in half with them.
 
     Texts of which nothing is left go; ``n_chars``, if there, is counted anew.
     """
     whole = docs.withColumn("_key", F.xxhash64("doc_id", "text"))
-    kept = suffixdedup.remove_repeats(docs, length=400).filter("n_removed > 0")
+    kept = suffixdedup.remove_repeats(docs, length=400, words=51).filter("n_removed > 0")
     kept = kept.groupBy("key").agg(F.first("kept").alias("_kept")).withColumnRenamed("key", "_key")
     left = F.try_validate_utf8(F.col("_kept").cast("string"))
     cut = whole.join(kept, "_key", "left")

@@ -44,9 +44,9 @@ class Ranges:
 
 
 def buffer(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """The bytes of a string column one after the other, and the start of each text and the end of the last; null is empty."""
-    texts = pa.array(texts.fill_null(""), pa.large_string()) if texts.null_count or texts.offset or not pa.types.is_large_string(texts.type) else texts
-    texts = texts.cast(pa.large_string())
+    """The bytes of a string or binary column one after the other, and the start of each text and the end of the last; null is empty."""
+    texts = texts.cast(pa.large_binary())
+    texts = texts.fill_null(b"") if texts.null_count else texts
     ends = np.frombuffer(texts.buffers()[1], dtype=np.int64)[texts.offset : texts.offset + len(texts) + 1]
     data = texts.buffers()[2]
     raw = np.frombuffer(data, dtype=np.uint8) if data is not None else np.zeros(0, dtype=np.uint8)

@@ -14,10 +14,14 @@ anchors with equal pieces can start equal strings.
    enough to both sides of the anchor, and levels of like size are merged.
 3. A piece with very many different surroundings is dealt out instead by the
    hashes of its single strings.
+
+Repeated runs of words are found in the same way: each word becomes a code of
+``CODE`` bytes, and strings of whole codes are looked for.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,12 +29,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillgraph.llm.common import reach_workers, slices
+from quillgraph.llm.common import WORD, reach_workers, slices
 from quillgraph.llm.rolling import Ranges, buffer
 from quillgraph.sources.shared import shared_dir
 
 #: Bytes of a repeated string, and of the pieces that are hashed for anchors.
 LENGTH, GRAM = 400, 100
+#: Bytes of a word's code, and the largest share of a repeated run's words in the pieces that are hashed for its anchors.
+CODE, WORD_GRAM = 6, 0.32
 #: Bytes of text that are hashed at once, and suffixes of a batch.
 PART, BATCH = 1 << 20, 4096
 #: Different surroundings of one piece that one task compares; more are dealt out.
@@ -39,6 +45,8 @@ HOT = 20_000
 OFFSET = 12
 
 _GRAM_BASE, _CTX_BASE, _OTHER_BASE = 0x9FB21C651E98DF25, 0xD6E8FEB86659FD93, 0xC2B2AE3D27D4EB4F
+_WORD_BASE = 0xA0761D6478BD642F
+_WORDS = re.compile(WORD.encode())
 
 
 def anchors(texts: pa.Array, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, ...]:
@@ -289,7 +297,39 @@ def repeats(keyed: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int =
     return settled.unionByName(near).unionByName(_hot_spans(edges.filter(F.col("kinds") > hot), length))
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HOT) -> DataFrame:
+def word_codes(texts: pa.Array) -> pa.Array:
+    """Each text as the codes of its words, one after the other, without what is between them."""
+    raw, ends = buffer(texts)
+    inside = (raw != 0x20) & ((raw < 0x09) | (raw > 0x0D))
+    edge = np.zeros(len(raw) + 1, dtype=bool)
+    edge[ends] = True
+    before, after = np.append(False, inside[:-1])[: len(raw)], np.append(inside[1:], False)[: len(raw)]
+    starts, stops = np.flatnonzero(inside & (~before | edge[:-1])), np.flatnonzero(inside & (~after | edge[1:])) + 1
+    codes = Ranges(raw, _WORD_BASE).of(starts, stops).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :CODE]
+    cuts = (np.searchsorted(starts, ends) * CODE).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(texts), [None, pa.py_buffer(cuts.tobytes()), pa.py_buffer(codes.tobytes())])
+
+
+def repeated_words(keyed: DataFrame, words: int, hot: int = HOT) -> DataFrame:
+    """Ranges of words ``(key, start, stop)`` of rows ``(key, text)`` that repeated runs of ``words`` words cover; they may overlap.
+
+    White space between words is not compared.
+    """
+
+    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start, stop in slices(batch.column("text"), PART):
+                part = batch.slice(start, stop - start)
+                yield pa.RecordBatch.from_arrays([part.column("key"), word_codes(part.column("text"))], ["key", "text"])
+
+    length = words * CODE
+    found = repeats(keyed.mapInArrow(code, "key bigint, text binary"), length, max(1, int(words * WORD_GRAM)) * CODE, hot)
+    # Starts between codes are no runs of words.
+    first, last = F.ceil(F.col("start") / CODE).cast("int"), F.floor((F.col("stop") - length) / CODE).cast("int")
+    return found.filter(first <= last).select("key", first.alias("start"), (last + words).alias("stop"))
+
+
+def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HOT, words: int | None = None) -> DataFrame:
     """Every row with the bytes that no repeated string covers: ``(doc_id, n_bytes, n_removed, n_spans, spans, kept)``.
 
     A string of ``length`` bytes is repeated if it starts anywhere else too,
@@ -300,13 +340,20 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot:
     an empty table gives no rows; other columns are not looked at. Rows are
     told apart by a 64-bit hash of id and text, equal surroundings by two
     64-bit hashes.
+
+    With ``words``, runs of so many words that also start elsewhere go too,
+    from the first letter to the last, however short in bytes and whatever
+    white space is between their words. Words are told apart by 48 bits of
+    hash.
     """
     spark = docs.sparkSession
     shared_dir(spark)
     reach_workers(spark)
     keyed = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("key"))
-    found = repeats(keyed.select("key", "text"), length, gram, hot)
-    per_row = found.groupBy("key").agg(F.collect_list(F.struct("start", "stop")).alias("found"))
+    found = repeats(keyed.select("key", "text"), length, gram, hot).withColumn("worded", F.lit(False))
+    if words:
+        found = found.unionByName(repeated_words(keyed.select("key", "text"), words, hot).withColumn("worded", F.lit(True)))
+    per_row = found.groupBy("key").agg(F.collect_list(F.struct("start", "stop", "worded")).alias("found"))
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def take_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -316,7 +363,10 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot:
                 out: tuple[list, ...] = ([], [], [], [], [])
                 for text, spans in zip(part.column("text"), part.column("found").to_pylist(), strict=True):
                     raw = text.as_buffer().to_pybytes() if text.is_valid else b""
-                    joined = join_spans([(s["start"], s["stop"]) for s in spans or ()])
+                    worded = join_spans([(s["start"], s["stop"]) for s in spans or () if s["worded"]])
+                    places = [m.span() for m in _WORDS.finditer(raw)] if worded else []
+                    covered = [(places[a][0], places[b - 1][1]) for a, b in worded]
+                    joined = join_spans([*((s["start"], s["stop"]) for s in spans or () if not s["worded"]), *covered])
                     kept, at = [], 0
                     for a, b in joined:
                         kept.append(raw[at:a])
