@@ -4,6 +4,9 @@ A shard's vectors enter the graph in random order, each linking to diverse
 near ones among those before it, on every layer up to its own. Neighbours are
 kept as flat arrays with offsets. A search descends the layers greedily and
 keeps a beam on the lowest; the shards' results are merged.
+
+Equal vectors are one node, so that copies fill no links and no beam. A node
+holds the smallest ids of its copies, and a search puts them in its place.
 """
 
 from __future__ import annotations
@@ -13,7 +16,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillgraph.llm import vectors as vx
@@ -24,7 +27,7 @@ from quillgraph.sources.shared import shared_dir
 LINKS, CANDIDATES, BEAM = 16, 64, 128
 
 FOUND = "query_id bigint, vec_id bigint, score double"
-INDEX = "dim int, shard int, ids binary, vectors binary, layers binary, offsets binary, neighbours binary"
+INDEX = "dim int, shard int, most int, ids binary, vectors binary, layers binary, offsets binary, neighbours binary, copies binary, ends binary"
 
 
 @dataclass
@@ -152,19 +155,42 @@ def build(ids: np.ndarray, vectors: np.ndarray, links: int = LINKS) -> Graph:
     return Graph(ids, vectors, np.array(sizes), np.concatenate(offsets).astype(np.int64), flat)
 
 
-def index(vectors: DataFrame, shard: int = vx.SHARD, links: int = LINKS) -> DataFrame:
-    """One row per shard of ``vectors (vec_id, vec, dim)``: the graph in flat arrays. Every vector is in one."""
-    reach_workers(vectors.sparkSession)
-    n_shards = vx.shards(vectors.count(), shard)
+def distinct(vectors: DataFrame, most: int) -> DataFrame:
+    """One row ``(vec_id, copies)`` per different vector: its smallest id, and its ``most`` smallest ids in order.
+
+    Vectors are told apart by two 64-bit hashes. A task cuts its rows of a
+    vector to ``most`` before they are shuffled.
+    """
+    hashed = vectors.select("vec_id", F.xxhash64("dim", "vec").alias("one"), F.xxhash64(F.lit(1), "vec").alias("two"))
+    by = Window.partitionBy("one", "two").orderBy("vec_id")
+    first = hashed.withColumn("nth", F.row_number().over(by)).filter(F.col("nth") <= most)
+    return first.groupBy("one", "two").agg(F.min("vec_id").alias("vec_id"), F.sort_array(F.collect_list("vec_id")).alias("copies")).select("vec_id", "copies")
+
+
+def index(vectors: DataFrame, shard: int = vx.SHARD, links: int = LINKS, most: int = 11) -> DataFrame:
+    """One row per shard of ``vectors (vec_id, vec, dim)``: the graph in flat arrays. Every different vector is in one.
+
+    Of equal vectors the ``most`` smallest ids are kept, which does for
+    searches of up to ``most - 1`` vectors.
+    """
+    spark = vectors.sparkSession
+    shared_dir(spark)
+    reach_workers(spark)
+    known = distinct(vectors, most).checkpoint()
+    n_shards = vx.shards(known.count(), shard)
 
     def make(rows: pa.Table) -> pa.Table:
         graph = build(*vx.matrix(rows), links)
+        copies = dict(zip(rows["vec_id"].to_pylist(), rows["copies"].to_pylist(), strict=True))
+        copies = [copies[i] for i in graph.ids.tolist()]
         held = {"ids": graph.ids, "vectors": graph.vectors, "layers": graph.layers, "offsets": graph.offsets, "neighbours": graph.neighbours}
-        kinds = {"ids": "<i8", "vectors": "<f8", "layers": "<i8", "offsets": "<i8", "neighbours": "<i4"}
-        columns = {"dim": pa.array([rows["dim"][0].as_py()], pa.int32()), "shard": pa.array([rows["shard"][0].as_py()], pa.int32())}
+        held |= {"copies": np.array([i for x in copies for i in x]), "ends": np.cumsum([0] + [len(x) for x in copies])}
+        kinds = {"ids": "<i8", "vectors": "<f8", "layers": "<i8", "offsets": "<i8", "neighbours": "<i4", "copies": "<i8", "ends": "<i8"}
+        columns = {c: pa.array([x], pa.int32()) for c, x in (("dim", rows["dim"][0].as_py()), ("shard", rows["shard"][0].as_py()), ("most", most))}
         return pa.table(columns | {c: pa.array([x.astype(kinds[c]).tobytes()], pa.binary()) for c, x in held.items()})
 
-    return vectors.withColumn("shard", vx.placed(vectors, n_shards)).groupBy("dim", "shard").applyInArrow(make, INDEX)
+    nodes = vectors.join(known, "vec_id")
+    return nodes.withColumn("shard", vx.placed(nodes, n_shards)).groupBy("dim", "shard").applyInArrow(make, INDEX)
 
 
 def search(graphs: DataFrame, queries: DataFrame, k: int = 10, beam: int = BEAM, block: int = vx.BLOCK) -> DataFrame:
@@ -173,10 +199,14 @@ def search(graphs: DataFrame, queries: DataFrame, k: int = 10, beam: int = BEAM,
     A query's own id is no candidate; vectors of another length are none.
     Distances are computed in double precision; ties go to the smaller id. All
     candidates come back where there are at most ``k``; empty tables give no
-    rows. Each task searches one shard for one block of queries.
+    rows. Each task searches one shard for one block of queries. All copies of
+    a vector that is found are candidates, so ties among copies are exact.
     """
     reach_workers(graphs.sparkSession)
-    n_shards = (graphs.agg(F.max("shard")).first()[0] or 0) + 1
+    last, most = graphs.agg(F.max("shard"), F.min("most")).first()
+    n_shards = (last or 0) + 1
+    if most is not None and k >= most:
+        raise ValueError(f"the index keeps {most} ids of equal vectors: no search for more than {most - 1}")
     n_blocks = vx.shards(queries.count(), block)
     held = graphs.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))))
     asked = vx.to_all(queries, n_shards, n_blocks)
@@ -184,19 +214,23 @@ def search(graphs: DataFrame, queries: DataFrame, k: int = 10, beam: int = BEAM,
     def find(left: pa.Table, right: pa.Table) -> pa.Table:
         out: tuple[list, list, list] = ([], [], [])
         if left.num_rows and right.num_rows:
-            row = {c: left[c][0].as_py() for c in ("ids", "vectors", "layers", "offsets", "neighbours")}
-            ids = np.frombuffer(row["ids"], "<i8")
+            row = {c: left[c][0].as_py() for c in ("ids", "vectors", "layers", "offsets", "neighbours", "copies", "ends")}
+            ids, copies, ends = (np.frombuffer(row[c], "<i8") for c in ("ids", "copies", "ends"))
             graph = Graph(
                 ids, np.frombuffer(row["vectors"], "<f8").reshape(len(ids), -1), np.frombuffer(row["layers"], "<i8"),
                 np.frombuffer(row["offsets"], "<i8"), np.frombuffer(row["neighbours"], "<i4"),
             )
             for query_id, query in zip(*vx.matrix(right), strict=True):
                 near = graph.search(query, max(beam, k + 1)) if len(ids) > k + 1 else np.arange(len(ids))
-                near = near[ids[near] != query_id]
                 gaps = np.sqrt(((graph.vectors[near] - query) ** 2).sum(axis=1))
-                order = np.lexsort((ids[near], gaps))[:k]
+                # One of these may be the query alone, so one more is needed.
+                first = np.lexsort((ids[near], gaps))[: k + 1]
+                found = np.concatenate([copies[ends[i] : ends[i + 1]] for i in near[first].tolist()])
+                gaps = np.repeat(gaps[first], ends[near[first] + 1] - ends[near[first]])
+                found, gaps = found[found != query_id], gaps[found != query_id]
+                order = np.lexsort((found, gaps))[:k]
                 out[0].extend([int(query_id)] * len(order))
-                out[1].extend(ids[near][order].tolist())
+                out[1].extend(found[order].tolist())
                 out[2].extend(gaps[order].tolist())
         return pa.table({"query_id": pa.array(out[0], pa.int64()), "vec_id": pa.array(out[1], pa.int64()), "score": pa.array(out[2], pa.float64())})
 
@@ -208,4 +242,4 @@ def search(graphs: DataFrame, queries: DataFrame, k: int = 10, beam: int = BEAM,
 def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10, **options) -> DataFrame:
     """Index ``vectors``, keep the graphs in the shared folder, and search them."""
     shared_dir(vectors.sparkSession)
-    return search(index(vectors).checkpoint(), queries, k, **options)
+    return search(index(vectors, most=k + 1).checkpoint(), queries, k, **options)
