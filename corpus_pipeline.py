@@ -9,7 +9,7 @@ count as empty in every stage.
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quillgraph.llm import mixing, ngramjoin, suffixdedup, toxicity, wordbpe
@@ -55,13 +55,27 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes its words, to the nearest whole number of times."""
-    taken = mixing.mix(docs).select("doc_id", "source", "size", "taken").groupBy("doc_id", "source", "size").agg(F.sum("taken").alias("taken"), F.count("*").alias("rows"))
-    times = F.when(F.col("size") > 0, F.round(F.col("taken") / (F.col("rows") * F.col("size")))).otherwise(0).cast("int")
-    taken = taken.select(*(F.col(c).alias(f"_{c}") for c in ("doc_id", "source", "size")), times.alias("_times")).filter("_times > 0")
-    sized = docs.withColumn("_n", mixing.n_words(F.col("text")))
-    met = sized.join(taken, sized["doc_id"].eqNullSafe(taken["_doc_id"]) & sized["source"].eqNullSafe(taken["_source"]) & (sized["_n"] == taken["_size"]))
-    return met.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*docs.columns)
+    """The words that the mix takes of each document: whole copies, and its first words where it is taken in part.
+
+    The mix takes a source's documents one after the other, over and over, so
+    it takes part of one document a source at most. Rows of one id, source and
+    number of words are taken in the order of their texts' hashes. What the
+    mix takes no word of, such as documents without words, goes; ``n_chars``,
+    if there, is counted anew for a part.
+    """
+    key = lambda n: F.xxhash64("doc_id", F.isnull("doc_id"), "source", F.isnull("source"), n)
+    taken = mixing.mix(docs).select(key("size").alias("_key"), "size", "taken").groupBy("_key").agg(F.sum("taken").alias("_taken"), F.sum("size").alias("_all"))
+    sized = docs.withColumn("_n", mixing.n_words(F.col("text"))).withColumn("_key", key("_n"))
+    nth = F.row_number().over(Window.partitionBy("_key").orderBy(F.xxhash64("text"))) - 1
+    met = sized.join(taken.filter("_taken > 0"), "_key").withColumn("_nth", nth).withColumn("_whole", F.expr("_taken div _all"))
+    part = F.greatest(F.least(F.col("_taken") % F.col("_all") - F.col("_nth") * F.col("_n"), F.col("_n")), F.lit(0))
+    met = met.withColumn("_part", part.cast("int")).withColumn("_times", F.col("_whole") + (F.col("_part") > 0).cast("long")).filter("_times > 0")
+    met = met.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_times"))))
+    cut = (F.col("_copy") > F.col("_whole")) & (F.col("_part") < F.col("_n"))
+    met = met.withColumn("_cut", cut).withColumn("text", F.when(F.col("_cut"), mixing.first_words(F.col("text"), F.col("_part"))).otherwise(F.col("text")))
+    if "n_chars" in docs.columns:
+        met = met.withColumn("n_chars", F.when(F.col("_cut"), F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
+    return met.select(*docs.columns)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -33,6 +33,13 @@ def n_words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def first_words(text: Column, n: Column) -> Column:
+    """The text up to the end of its n-th word, with what is between the words."""
+    pieces = F.split(text, "(?<=[\\x20\\x09-\\x0D])(?=[^\\x20\\x09-\\x0D])")
+    blank = (~F.element_at(pieces, 1).rlike(WORD)).cast("int")
+    return F.regexp_replace(F.array_join(F.slice(pieces, 1, n + blank), ""), "[\\x20\\x09-\\x0D]+\\z", "")
+
+
 def ranked(sources: DataFrame) -> DataFrame:
     """Adds ``rank`` from 0 to ``(source, ...)``, by code point, null last.
 
