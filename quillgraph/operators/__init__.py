@@ -11,6 +11,7 @@ from quillgraph.operators.graph import (
     top_pages,
     with_titles,
 )
+from quillgraph.operators.numbering import numbered, running_total
 from quillgraph.operators.profiles import (
     corpus_profile,
     doc_profile,
@@ -47,9 +48,11 @@ __all__ = [
     "inject_links",
     "keyword_subgraph",
     "link_bomb",
+    "numbered",
     "one_article",
     "out_degree",
     "pagerank",
+    "running_total",
     "salted_join",
     "score_sentences",
     "search_titles",

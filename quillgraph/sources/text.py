@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillgraph.functions import text as tx
+from quillgraph.operators.numbering import running_total
 from quillgraph.sources.shared import shared_dir
 
 # Fixed value: the separator of the fields of an article line.
@@ -73,7 +74,8 @@ def number_lines(lines: DataFrame) -> DataFrame:
     ``lines`` must come from :func:`read_lines`. Files count in path order.
     The lines are frozen by a checkpoint together with their place in the
     input, so all that follows sees the same blocks. Each block then needs one
-    offset, the number of lines before it; only these offsets are ordered.
+    offset, the number of lines before it: a running sum over the blocks, which
+    are dealt out by ranges of their place.
     """
     spark = lines.sparkSession
     shared_dir(spark)
@@ -85,15 +87,7 @@ def number_lines(lines: DataFrame) -> DataFrame:
     ).checkpoint()
 
     blocks = frozen.groupBy("file", "block").agg(F.count("*").alias("rows"), F.min("seq").alias("first"))
-    files = blocks.groupBy("file").agg(F.sum("rows").alias("file_rows"))
-    before = F.sum("file_rows").over(Window.orderBy("file")) - F.col("file_rows")
-    files = files.select("file", before.alias("before_file"))
-    inside = F.sum("rows").over(Window.partitionBy("file").orderBy("block")) - F.col("rows")
-    offsets = (
-        blocks.withColumn("before_block", inside)
-        .join(files, "file")
-        .select("file", "block", (F.col("before_file") + F.col("before_block") - F.col("first")).alias("shift"))
-    )
+    offsets = running_total(blocks, "rows", "file", "block").select("file", "block", (F.col("before") - F.col("first")).alias("shift"))
     return frozen.join(offsets, ["file", "block"]).select((F.col("seq") + F.col("shift") + 1).alias("page_id"), "title")
 
 
