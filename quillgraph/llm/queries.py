@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from string import ascii_lowercase, ascii_uppercase
 
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillgraph.llm import hnsw, mixing, ngramjoin, quality, suffixdedup, tokencount, topk, toxicity, urlfilter, vectors, wordbpe
+from quillgraph.llm import hnsw, merkle, mixing, ngramjoin, quality, suffixdedup, tokencount, topk, toxicity, urlfilter, vectors, wordbpe
 from quillgraph.llm.common import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -79,6 +80,21 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngramjoin.join(table(spark, sf_dir, "documents"), n=4, percent=85)
 
 
+#: What a leaf of the manifest covers, in this order.
+LEAF_COLUMNS = ["doc_id", "source", "lang", "n_chars", "text"]
+
+
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    lowered = F.translate("text", ascii_uppercase, ascii_lowercase)
+    tampered = merkle.leaf([lowered if c == "text" else F.col(c) for c in LEAF_COLUMNS])
+    claimed = F.when(fold(F.col("doc_id"), 5) == 0, tampered).otherwise(merkle.leaf([F.col(c) for c in LEAF_COLUMNS]))
+    proofs = merkle.prove(merkle.manifest(docs, LEAF_COLUMNS, claimed=claimed))
+    folded = proofs.withColumn("folded_root", merkle.fold(F.col("claimed"), F.col("path"), F.col("places")))
+    proof = F.sha2(F.concat_ws("", "path").cast("binary"), 256).alias("proof_sha256")
+    return folded.select(F.col("id").alias("doc_id"), "leaf", "subroot", "root", proof, "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
 QUERIES: dict[str, Query] = {
     q.__name__: q
     for q in (
@@ -92,5 +108,6 @@ QUERIES: dict[str, Query] = {
         op8_top_k,
         op9_quality,
         op10_ngram_join,
+        op12_merkle,
     )
 }
