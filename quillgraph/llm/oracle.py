@@ -94,4 +94,30 @@ SELECT doc_id, leaf, s.hash AS subroot, root, sha256(w.proof) AS proof_sha256, w
 FROM placed p JOIN subroots s USING (tree) JOIN upper_walk_end w ON w.row = p.row, root
 """
 
-ORACLE: dict[str, str] = {"op8_top_k": TOP_K, "op12_merkle": MERKLE}
+#: Positives and negatives by exact scores of every 50th vector with all others.
+HARD_NEGATIVES = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+pairs AS (
+  SELECT a.vec_id AS anchor_id, a.label = b.label AS same, b.vec_id,
+         CAST(list_sum(list_transform(list_zip(a.v, b.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+  WHERE a.vec_id % 50 = 0
+),
+positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM pairs WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+       vec_id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN pairs USING (anchor_id)
+WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY rank <= 3
+"""
+
+ORACLE: dict[str, str] = {"op8_top_k": TOP_K, "op11_hard_negatives": HARD_NEGATIVES, "op12_merkle": MERKLE}

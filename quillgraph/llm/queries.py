@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillgraph.llm import hnsw, merkle, mixing, ngramjoin, quality, suffixdedup, tokencount, topk, toxicity, urlfilter, vectors, wordbpe
+from quillgraph.llm import hardneg, hnsw, langid, merkle, mixing, ngramjoin, quality, suffixdedup, tokencount, topk, toxicity, urlfilter, vectors, wordbpe
 from quillgraph.llm.common import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -80,6 +80,12 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngramjoin.join(table(spark, sf_dir, "documents"), n=4, percent=85)
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = hardneg.labelled(table(spark, sf_dir, "embeddings"), moved)
+    return hardneg.mine(rows, rows.filter("vec_id % 50 = 0"))
+
+
 #: What a leaf of the manifest covers, in this order.
 LEAF_COLUMNS = ["doc_id", "source", "lang", "n_chars", "text"]
 
@@ -95,6 +101,13 @@ def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return folded.select(F.col("id").alias("doc_id"), "leaf", "subroot", "root", proof, "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
 
 
+def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = fold(F.col("doc_id"), 4) == 2
+    judged = langid.score(docs, langid.fit(docs, ~held_out))
+    return judged.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
 QUERIES: dict[str, Query] = {
     q.__name__: q
     for q in (
@@ -108,6 +121,8 @@ QUERIES: dict[str, Query] = {
         op8_top_k,
         op9_quality,
         op10_ngram_join,
+        op11_hard_negatives,
         op12_merkle,
+        op13_language_id,
     )
 }
