@@ -2,26 +2,58 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillgraph.functions import text as tx
 from quillgraph.operators.tfidf import tf_idf
+from quillgraph.sources.shared import shared_dir
+
+
+# Bytes of a text that its fixed-width key holds.
+KEY_BYTES = 7
+# Hashes of repeating ids that are broadcast, 8 bytes each.
+BROADCAST_IDS = 1_000_000
+
+
+def text_key(text: Column) -> Column:
+    """The first bytes of a text as a number that orders like them, a shorter text before a longer one or level with it."""
+    head = F.substring(text.cast("binary"), 1, KEY_BYTES)
+    return F.conv(F.rpad(F.hex(head), 2 * KEY_BYTES, "0"), 16, 10).cast("bigint")
 
 
 def one_article(articles: DataFrame) -> DataFrame:
     """One text per document id: ``(doc_id, text)``.
 
     Where an id has several records the greatest text is taken, a fixed choice
-    for an order the rule leaves open. It is combined before the shuffle, so a
-    frequent id sends at most one record per task. From here on a document is
-    no larger than one record.
-
-    Records without an id are left out, as the joins that follow would: said
-    here, all uses of the result have the same plan and share its shuffle.
+    for an order the rule leaves open. Which ids repeat is counted first, from
+    the ids alone; the text of an id that does not is neither shuffled nor
+    sorted. Of the others a hash aggregate finds each id's greatest fixed-width
+    key and the records with that key are fetched; those that tie are cut to
+    one per task before they are compared. From here on a document is no
+    larger than one record.
+
+    Repeating ids travel as 64-bit hashes, by broadcast if they are at most
+    ``BROADCAST_IDS``, by a shuffle join beyond. A collision only sends one id
+    more through the choice. Records without an id are left out, as the joins
+    that follow would.
     """
-    kept = articles.filter("text <> '' and doc_id is not null")
-    return kept.groupBy("doc_id").agg(F.max("text").alias("text"))
+    shared_dir(articles.sparkSession)
+    kept = articles.filter("text <> '' and doc_id is not null").select("doc_id", "text")
+    ids = articles.filter("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n"))
+    repeated = ids.filter("n > 1").select(F.xxhash64("doc_id").alias("_hash")).checkpoint()
+    n = repeated.count()
+    if n == 0:
+        return kept
+    if n <= BROADCAST_IDS:
+        repeated = F.broadcast(repeated)
+    hashed = kept.withColumn("_hash", F.xxhash64("doc_id"))
+    several = hashed.join(repeated, "_hash", "left_semi").withColumn("_key", text_key(F.col("text")))
+    greatest = several.groupBy("doc_id").agg(F.max("_key").alias("_key"))
+    tied = several.join(greatest, ["doc_id", "_key"], "left_semi")
+    last_first = Window.partitionBy("doc_id").orderBy(F.desc("text"))
+    chosen = tied.withColumn("_row", F.row_number().over(last_first)).filter("_row = 1").select("doc_id", "text")
+    return hashed.join(repeated, "_hash", "left_anti").select("doc_id", "text").unionByName(chosen)
 
 
 def split_sentences(articles: DataFrame) -> DataFrame:
@@ -40,18 +72,23 @@ def score_sentences(sentences: DataFrame, weights: DataFrame, n: int = 5) -> Dat
     distinct = F.array_remove(F.array_distinct(tx.unigrams(F.col("sentence"))), "")
     words = sentences.select("doc_id", "pos", F.explode_outer(distinct).alias("unigram"))
     weighted = words.join(weights, ["doc_id", "unigram"], "left").select("doc_id", "pos", "tfidf")
-    # Collecting shrinks nothing, so the rows are shuffled as they are instead
-    # of being collected twice.
-    ranked = weighted.repartition("doc_id", "pos").groupBy("doc_id", "pos").agg(
-        F.sort_array(F.collect_list("tfidf"), asc=False).alias("values")
+    # Rows are shuffled as they are: few words of a sentence share a value.
+    values = weighted.repartition("doc_id", "pos").groupBy("doc_id", "pos", "tfidf").agg(F.count("tfidf").alias("times"))
+    # Of more than n different values the n largest hold the n best words. The
+    # cut is a group limit, so a sentence of any length is streamed, not collected.
+    down = Window.partitionBy("doc_id", "pos").orderBy(F.desc("tfidf"))
+    placed = values.withColumn("_place", F.rank().over(down)).filter(F.col("_place") <= n)
+    better = F.sum("times").over(down.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("times")
+    kept = placed.withColumn("_better", better).filter(F.col("_better") < n)
+    best = kept.groupBy("doc_id", "pos").agg(
+        F.sort_array(F.collect_list(F.struct("tfidf", F.col("times").cast("int").alias("times"))), asc=False).alias("best")
     )
-    cut = F.get("values", F.least(F.size("values"), F.lit(n)) - 1)
-    best = F.filter("values", lambda value: value >= F.col("cut"))
-    return (
-        ranked.withColumn("cut", cut)
-        .withColumn("score", F.aggregate(best, F.lit(0.0), lambda total, value: total + value))
-        .select("doc_id", "pos", "score")
+    total = F.aggregate(
+        "best",
+        F.lit(0.0),
+        lambda sum_, x: F.aggregate(F.array_repeat(x["tfidf"], x["times"]), sum_, lambda t, value: t + value),
     )
+    return best.select("doc_id", "pos", total.alias("score"))
 
 
 def attach_scores(sentences: DataFrame, scores: DataFrame) -> DataFrame:
@@ -79,16 +116,16 @@ def summarize(
     name documents that have no article; those get the summary of one empty
     sentence.
 
-    The text is shuffled once, by document. Scores travel without the
-    sentences, and the chosen positions are joined back to the text where it
-    already lies.
+    Scores travel without the sentences, and the chosen positions are joined
+    back to the text.
     """
     if weights is None:
         weights = tf_idf(articles, compat=compat)
         corpus = one_article(articles)
     else:
         bare = weights.filter("doc_id is not null").select("doc_id", F.lit("").alias("text")).distinct()
-        corpus = one_article(articles).unionByName(bare).groupBy("doc_id").agg(F.max("text").alias("text"))
+        known = one_article(articles)
+        corpus = known.unionByName(bare.join(known.select("doc_id"), "doc_id", "left_anti"))
 
     scores = score_sentences(split_sentences(corpus), weights, n)
     chosen = top_sentences(scores, k).groupBy("doc_id").agg(F.array_sort(F.collect_list("pos")).alias("positions"))

@@ -5,9 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillgraph.operators.profiles import term_counts, tokenize
+from quillgraph.functions import text as tx
+from quillgraph.operators.profiles import term_counts
 from quillgraph.operators.skew import salted_join
 
+# What no unigram holds: a blank before a lax token, and the row that stands for a record.
+LAX = " "
+RECORD = "  "
+
 
 def augmented_tf(n: Column, max_n: Column) -> Column:
     return F.lit(0.5) + F.lit(0.5) * (n / max_n)
@@ -30,8 +35,20 @@ def corpus_size(articles: DataFrame) -> DataFrame:
 
 
 def idf(tokens: DataFrame, articles: DataFrame, **skew) -> DataFrame:
-    """Inverse document frequency per document and unigram: ``(doc_id, unigram, idf)``."""
-    return _with_idf(_counts(tokens), articles, skew).select("doc_id", "unigram", "idf")
+    """Inverse document frequency per document and unigram: ``(doc_id, unigram, idf)``.
+
+    Tokens and articles are two inputs here; :func:`article_idf` reads the
+    articles once for both.
+    """
+    counts = _counts(tokens)
+    n_docs = corpus_size(articles).scalar()
+    return _with_idf(counts, counts, n_docs, skew).select("doc_id", "unigram", "idf")
+
+
+def article_idf(articles: DataFrame, **skew) -> DataFrame:
+    """As :func:`idf` over the strict unigrams, from one pass over the articles."""
+    counts, n_docs = _counted(articles)
+    return _with_idf(counts, counts, n_docs, skew).select("doc_id", "unigram", "idf")
 
 
 def combine_weights(tf: DataFrame, idf: DataFrame) -> DataFrame:
@@ -45,35 +62,35 @@ def combine_weights(tf: DataFrame, idf: DataFrame) -> DataFrame:
 def tf_idf(articles: DataFrame, compat: bool = False, **skew) -> DataFrame:
     """TF·IDF of each unigram in each document: ``(doc_id, unigram, tfidf)``.
 
-    With one normaliser both weights exist for the same pairs, so they are
-    computed on the same counts and nothing is merged. ``compat`` uses the lax
-    normaliser for TF only; the keys then differ and both sides are merged by
-    a full join.
+    Both weights come from the same counts, and so does the number of
+    records, so the text is read and shuffled once. ``compat`` uses the lax
+    normaliser for TF only: a pair is then counted under both rules, and a
+    weight whose rule does not know the pair is 1, as in
+    :func:`combine_weights`.
     """
-    tokens = tokenize(articles)
-    if compat:
-        lax = tokenize(articles, compat=True)
-        return combine_weights(term_freq(lax, **skew), idf(tokens, articles, **skew))
-    counts = _counts(tokens)
-    weighted = _with_idf(_with_tf(counts, skew), articles, skew, counts)
-    return weighted.select("doc_id", "unigram", (F.col("tf") * F.col("idf")).alias("tfidf"))
+    counts, n_docs = _counted(articles, compat)
+    rule = "lax" if compat else "n"
+    weighted = _with_idf(_with_tf(counts, skew, rule), counts, n_docs, skew)
+    tf = F.when(F.col(rule) > 0, F.col("tf")).otherwise(1.0)
+    idf_ = F.when(F.col("n") > 0, F.col("idf")).otherwise(1.0)
+    return weighted.select("doc_id", "unigram", (tf * idf_).alias("tfidf"))
 
 
-def _with_tf(counts: DataFrame, skew: dict) -> DataFrame:
+def _with_tf(counts: DataFrame, skew: dict, rule: str = "n") -> DataFrame:
     # The maximum is a small aggregate joined back, not a window: a window
     # would put all terms of one document into one task.
     peaks = counts.groupBy("doc_id").agg(
-        F.max("n").alias("max_n"), F.when(F.max("n") > 0, F.count("*")).alias("terms")
+        F.nullif(F.max(rule), F.lit(0)).alias("max_n"), F.when(F.max("n") >= 0, F.count("*")).alias("terms")
     )
     joined = salted_join(counts, peaks, "doc_id", "unigram", "terms", **skew)
-    return joined.withColumn("tf", augmented_tf(F.col("n"), F.col("max_n"))).drop("max_n", "terms")
+    return joined.withColumn("tf", augmented_tf(F.col(rule), F.col("max_n"))).drop("max_n", "terms")
 
 
-def _with_idf(pairs: DataFrame, articles: DataFrame, skew: dict, counts: DataFrame | None = None) -> DataFrame:
-    spread = (pairs if counts is None else counts).groupBy("unigram").agg(F.count_if(F.col("n") > 0).alias("df"))
-    joined = salted_join(pairs, spread, "unigram", "doc_id", "df", **skew)
-    n_docs = corpus_size(articles).scalar()
-    return joined.withColumn("idf", F.log10(n_docs / F.col("df"))).drop("df")
+def _with_idf(pairs: DataFrame, counts: DataFrame, n_docs: Column, skew: dict) -> DataFrame:
+    rows = F.when(F.max("n") >= 0, F.count("*")).alias("rows")
+    spread = counts.groupBy("unigram").agg(F.nullif(F.count_if(F.col("n") > 0), F.lit(0)).alias("df"), rows)
+    joined = salted_join(pairs, spread, "unigram", "doc_id", "rows", **skew)
+    return joined.withColumn("idf", F.log10(n_docs / F.col("df"))).drop("df", "rows")
 
 
 def _counts(tokens: DataFrame) -> DataFrame:
@@ -85,3 +102,33 @@ def _counts(tokens: DataFrame) -> DataFrame:
     ``n`` pruned from one of them, the text would be tokenised once more.
     """
     return term_counts(tokens.filter("doc_id is not null"))
+
+
+def _counted(articles: DataFrame, compat: bool = False) -> tuple[DataFrame, Column]:
+    """Term counts and the number of records from one pass over the text.
+
+    Each record adds one row of its own to its tokens, under a unigram that no
+    token has, so records without a token are counted too. These rows count
+    downwards: only the sign of a sum tells them from tokens, which is known
+    behind the shuffle alone, so the filter stays there and both results read
+    the same shuffle. With ``compat`` the lax tokens travel along behind a
+    blank, and ``lax`` counts them.
+    """
+    known = articles.filter("text <> '' and doc_id is not null")
+    pieces = tx.unigrams(F.col("text"))
+    if compat:
+        lax = F.transform(tx.unigrams(F.col("text"), compat=True), lambda token: F.concat(F.lit(LAX), token))
+        pieces = F.concat(pieces, lax)
+    token = F.col("_token")
+    rows = known.select("doc_id", F.explode(F.array_append(pieces, F.lit(RECORD))).alias("_token"))
+    rows = rows.filter((token != "") & (token != LAX))
+    is_record, is_lax = token == RECORD, token.startswith(LAX) & (token != RECORD)
+    unigram = F.when(is_lax, F.substr(token, F.lit(len(LAX) + 1))).otherwise(token)
+    strict = F.when(is_record, -1).when(is_lax, 0).otherwise(1).cast("bigint")
+    rows = rows.select("doc_id", unigram.alias("unigram"), strict.alias("n"), is_lax.cast("bigint").alias("lax"))
+    # Both uses of the counts must filter alike, or they would not share the shuffle.
+    rows = rows.filter("unigram is not null")
+    sums = [F.sum("n").alias("n"), *([F.sum("lax").alias("lax")] if compat else [])]
+    every = rows.groupBy("doc_id", "unigram").agg(*sums)
+    n_docs = every.agg((-F.sum(F.least(F.col("n"), F.lit(0)))).alias("n_docs")).scalar()
+    return every.filter("n >= 0"), n_docs

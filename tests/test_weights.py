@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import math
 import random
 import re
 
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 import quillgraph as qg
 from quillgraph.operators.skew import hot_keys
 from tests import model
+from tests.plans import executed_plan
 
 WORDS = "the a of ring,Bolt gear! plate? (old) x!] y-z ... cat. dog. Cat".split(" ")
 
@@ -60,16 +62,68 @@ def test_combine_takes_one_for_a_missing_side(spark):
     assert got == {"a": 0.5, "b": 1.5, "c": 3.0}
 
 
-def test_text_is_shuffled_once_for_all_uses_of_the_counts(articles):
+@pytest.mark.parametrize("compat", [False, True])
+def test_text_is_read_and_shuffled_once_for_all_uses_of_the_counts(articles, compat):
     _, df = articles
-    weights = qg.tf_idf(df)
-    weights.collect()
-    plan = weights._jdf.queryExecution().executedPlan().toString()
-    executed = re.split(r"^\+- == Initial Plan ==", plan, flags=re.MULTILINE)[0]
+    executed = executed_plan(qg.tf_idf(df, compat))
     assert "isFinalPlan=true" in executed
     shuffles = [line for line in executed.splitlines() if re.search(r"hashpartitioning\(doc_id#\d+L?, unigram", line)]
     assert [line for line in shuffles if "ReusedExchange" in line]
     assert len([line for line in shuffles if "ReusedExchange" not in line]) == 1, "\n".join(shuffles)
+    assert len(re.findall(r"Scan ExistingRDD\[.*text", executed)) == 1
+
+
+def test_records_without_a_token_count_for_the_corpus(spark):
+    rows = [("a", "x y"), ("b", "..."), ("b", "x"), ("c", ""), ("d", None), (None, "x z"), ("e", " ")]
+    df = spark.createDataFrame(rows, "doc_id string, text string")
+    n = qg.corpus_size(df).first().n_docs
+    assert n == 4
+    for weights in (qg.article_idf(df), qg.idf(qg.tokenize(df), df)):
+        got = {(r.doc_id, r.unigram): r.idf for r in weights.collect()}
+        assert got == pytest.approx({("a", "x"): math.log10(2), ("a", "y"): math.log10(4), ("b", "x"): math.log10(2)})
+    both = {(r.doc_id, r.unigram): r.tfidf for r in qg.tf_idf(df, compat=True).collect()}
+    # "..." is a lax token of its own: no strict one, so its document frequency counts as 1.
+    assert both["b", "..."] == 1.0 and both["a", "y"] == pytest.approx(math.log10(4))
+
+
+def test_one_article_neither_sorts_nor_aggregates_texts(articles):
+    rows, df = articles
+    chosen = qg.one_article(df)
+    executed = executed_plan(chosen)
+    assert "SortAggregate" not in executed and "ObjectHashAggregate" not in executed
+    assert "WindowGroupLimit" in executed
+    expected: dict[str, str] = {}
+    for doc, text in rows:
+        expected[doc] = max(text, expected.get(doc, ""))
+    assert sorted(map(tuple, chosen.collect())) == sorted(expected.items())
+
+
+def test_texts_of_unique_ids_stay_where_they_lie(spark):
+    df = spark.createDataFrame([(f"d{i}", f"text {i}") for i in range(50)], "doc_id string, text string")
+    executed = executed_plan(qg.one_article(df))
+    moved = [line for line in executed.splitlines() if "Exchange" in line and "text" in line]
+    assert "Window" not in executed and not moved
+
+
+@pytest.mark.parametrize("broadcast", [0, 1_000_000])
+def test_the_greatest_text_wins_whatever_its_key(spark, monkeypatch, broadcast):
+    monkeypatch.setitem(qg.one_article.__globals__, "BROADCAST_IDS", broadcast)
+    texts = ["", "a", "a\0", "abcdefg", "abcdefgh", "abcdefgha", "ab", "é", "zz", "日本語の", "日本語", None, "abcdefgh"]
+    for k in range(1, len(texts) + 1):
+        df = spark.createDataFrame([("d", t) for t in texts[:k]] + [("e", "x"), (None, "y")], "doc_id string, text string").repartition(3)
+        got = {r.doc_id: r.text for r in qg.one_article(df).collect()}
+        best = max((t for t in texts[:k] if t), key=lambda t: t.encode(), default=None)
+        assert got == ({"d": best} if best else {}) | {"e": "x"}
+
+
+def test_a_sentence_of_any_length_is_cut_where_it_lies(spark):
+    words = spark.range(200_000).selectExpr("'d' as doc_id", "concat('w', id) as unigram", "cast(id % 7 as double) as tfidf")
+    text = words.groupBy("doc_id").agg(F.concat_ws(" ", F.collect_list("unigram")).alias("sentence"))
+    scored = qg.score_sentences(text.withColumn("pos", F.lit(0)), words)
+    executed = executed_plan(scored)
+    assert "WindowGroupLimit" in executed
+    tied = sum(1 for i in range(200_000) if i % 7 == 6)
+    assert scored.first().score == 6.0 * tied
 
 
 def sentence_rows(spark, sentences):
