@@ -1,8 +1,10 @@
 from quillgraph.operators.graph import (
     bomb_pages,
+    collapse,
     dead_ends,
     find_page,
     inject_links,
+    inject_weighted,
     keyword_subgraph,
     link_bomb,
     out_degree,
@@ -31,11 +33,13 @@ from quillgraph.operators.summarize import (
     summarize,
     top_sentences,
 )
-from quillgraph.operators.tfidf import combine_weights, corpus_size, doc_freq, idf, term_freq, tf_idf
+from quillgraph.operators.tfidf import article_idf, combine_weights, corpus_size, doc_freq, idf, term_freq, tf_idf
 
 __all__ = [
+    "article_idf",
     "attach_scores",
     "bomb_pages",
+    "collapse",
     "combine_weights",
     "corpus_profile",
     "corpus_size",
@@ -46,6 +50,7 @@ __all__ = [
     "find_page",
     "idf",
     "inject_links",
+    "inject_weighted",
     "keyword_subgraph",
     "link_bomb",
     "numbered",

@@ -1,17 +1,24 @@
 """Link-graph operators: degrees, PageRank, title search and link injection.
 
-Edges are rows ``(src, dst)``, one per listed link, so parallel links repeat.
-Pages are rows ``(page_id, title)`` and ranks are rows ``(page_id, rank)``.
+Edges are rows ``(src, dst)``, one per listed link, so parallel links repeat;
+weighted links ``(src, dst, copies)`` say how often instead. Pages are rows ``(page_id, title)`` and ranks are rows ``(page_id, rank)``.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillgraph.operators import skew
-from quillgraph.sources.shared import shared_dir
+from quillgraph.sources.shared import shared_dir, shuffle_partitions
+
+# Collapsed links of one partition of the layout, about 100 MB; small graphs use
+# all cores down to SMALL_SLOT links a partition.
+LINKS_PER_SLOT = 4_000_000
+SMALL_SLOT = 50_000
 
 
 def out_degree(edges: DataFrame) -> DataFrame:
@@ -19,6 +26,17 @@ def out_degree(edges: DataFrame) -> DataFrame:
     return edges.groupBy(F.col("src").alias("page_id")).agg(F.count("*").alias("degree"))
 
 
+def collapse(edges: DataFrame) -> DataFrame:
+    """Parallel links as one row with their number: ``(src, dst, copies)``. Weighted links are added up."""
+    copies = F.sum("copies") if "copies" in edges.columns else F.count("*")
+    return edges.groupBy("src", "dst").agg(copies.alias("copies"))
+
+
+def layout_width(links: int, cores: int) -> int:
+    """Partitions that a number of collapsed links is laid out in."""
+    return max(1, -(-links // LINKS_PER_SLOT), min(cores, -(-links // SMALL_SLOT)))
+
+
 def dead_ends(edges: DataFrame) -> DataFrame:
     """Pages that are linked to and list no link themselves: ``(page_id)``."""
     targets = edges.select(F.col("dst").alias("page_id")).filter("page_id is not null").distinct()
@@ -44,9 +62,10 @@ def pagerank(
     named in the edges is ranked in every round. A null target counts in the
     out-degree and receives nothing.
 
-    The weighted edges are laid out by source once and kept. Ranks come out of
-    a round partitioned the same way, so a round shuffles the contributions
-    only, after they were combined per task. Sources that hold a large share
+    ``edges`` may be weighted links. They are laid out by source once and
+    kept, in as many partitions as their number asks for, whatever the session
+    is set to. Ranks come out of a round partitioned the same way, so a round
+    shuffles the contributions only, after they were combined per task. Sources that hold a large share
     of the links stay out of that layout and meet their ranks, at most
     ``HOT_KEYS`` rows, by broadcast. Every ``checkpoint_every`` rounds, with
     such sources every round, the ranks are checkpointed to the shared folder.
@@ -73,15 +92,30 @@ def _rounds(
         held.append(df.persist(StorageLevel.MEMORY_AND_DISK))
         return df
 
-    links = edges.groupBy("src", "dst").agg(F.count("*").alias("copies")).checkpoint()
+    spark = edges.sparkSession
+    links = collapse(edges).checkpoint()
+    width = layout_width(links.count(), spark.sparkContext.defaultParallelism)
+    with shuffle_partitions(spark, width):
+        return _laid_out(links, width, iterations, tax, keep_all_pages, checkpoint_every, limits, hold)
+
+
+def _laid_out(
+    links: DataFrame,
+    width: int,
+    iterations: int,
+    tax: float | None,
+    keep_all_pages: bool,
+    checkpoint_every: int,
+    limits: tuple[int | None, int | None],
+    hold: Callable[[DataFrame], DataFrame],
+) -> DataFrame:
     sources = links.groupBy("src").agg(F.sum("copies").alias("degree"), F.count("*").alias("links")).checkpoint()
     hot = _hot_sources(sources, *limits)
 
     weight = F.col("copies") / F.col("degree")
     cold_links = links if hot is None else links.join(F.broadcast(hot), "src", "left_anti")
-    slots = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     cold = hold(
-        cold_links.repartition(slots, "src")
+        cold_links.repartition(width, "src")
         .join(sources, "src")
         .filter("dst is not null")
         .select("src", "dst", weight.alias("weight"))
@@ -170,6 +204,21 @@ def inject_links(edges: DataFrame, target: int | DataFrame, copies: int = 5) ->
     return edges.unionByName(bought.filter("dst is not null"))
 
 
+def inject_weighted(links: DataFrame, target: int | DataFrame, copies: int = 5) -> DataFrame:
+    """As :func:`inject_links`, on weighted links and as a weight: ``(src, dst, copies)``, collapsed.
+
+    Each link row carries its page's new link along, and the new links of a
+    page are counted once where rows meet, so the links are read, joined and
+    shuffled once. They are combined per task before that shuffle.
+    """
+    target_id = (target.scalar() if isinstance(target, DataFrame) else F.lit(target)).cast("bigint")
+    own = F.struct(F.col("dst").cast("bigint").alias("dst"), F.col("copies").cast("bigint").alias("own"), F.lit(0).alias("bought"))
+    new = F.struct(target_id.alias("dst"), F.lit(0).cast("bigint").alias("own"), F.lit(copies).alias("bought"))
+    both = F.when(target_id.isNotNull() & F.lit(copies > 0), F.array(own, new)).otherwise(F.array(own))
+    met = links.select("src", F.inline(both)).groupBy("src", "dst")
+    return met.agg((F.sum("own") + F.max("bought")).alias("copies"))
+
+
 def link_bomb(
     edges: DataFrame,
     pages: DataFrame,
@@ -183,10 +232,13 @@ def link_bomb(
     """Taxed ranks of the keyword sub-graph after links to the target were injected.
 
     All reached pages are ranked. To list the target among the pages with the
-    keyword, pass :func:`bomb_pages` to :func:`top_pages`.
+    keyword, pass :func:`bomb_pages` to :func:`top_pages`. The links are read
+    and joined with the titles once; injected ones are a weight.
     """
     kept = keyword_subgraph(edges, pages, keyword)
-    bombed = inject_links(kept, find_page(pages, target_title), copies)
+    if "copies" not in kept.columns:
+        kept = kept.withColumn("copies", F.lit(1).cast("bigint"))
+    bombed = inject_weighted(kept, find_page(pages, target_title), copies)
     return pagerank(bombed, iterations, tax, **options)
 
 

@@ -34,7 +34,7 @@ def weights(
     corpus = _articles(spark, articles)
     tf = qg.term_freq(qg.tokenize(corpus, compat=compat)).select("doc_id", "unigram", "tf")
     qg.write_tsv(tf, tf_out)
-    qg.write_tsv(qg.idf(qg.tokenize(corpus), corpus), idf_out)
+    qg.write_tsv(qg.article_idf(corpus), idf_out)
     merged = qg.combine_weights(
         qg.read_weights(spark, tf_out, name="tf"), qg.read_weights(spark, idf_out, name="idf")
     )

@@ -7,20 +7,20 @@ TARGET = "large bolt"
 
 # Text
 
-LINES = r"""
-lines AS (
-  SELECT unnest(regexp_split_to_array(regexp_replace(text, '(\r\n|\r|\n)\z', ''), '\r\n|\r|\n')) AS line
-  FROM documents
-)"""
 
-WORD_COUNT = (
-    LINES
-    + r""",
-words AS (
+def words(table: str, name: str = "words") -> str:
+    return rf"""
+{name}_lines AS (
+  SELECT unnest(regexp_split_to_array(regexp_replace(text, '(\r\n|\r|\n)\z', ''), '\r\n|\r|\n')) AS line
+  FROM {table}
+),
+{name} AS (
   SELECT unnest(string_split(regexp_replace(line, ' +\z', ''), ' ')) AS word
-  FROM lines WHERE NOT regexp_full_match(line, ' +')
+  FROM {name}_lines WHERE NOT regexp_full_match(line, ' +')
 )"""
-)
+
+
+WORD_COUNT = words("documents")
 
 RAW = r"""
 raw AS (
@@ -106,6 +106,18 @@ summaries AS (
 )"""
 
 
+# The turns of conversations as articles, and of each id's texts the greatest.
+TURNS = """
+turns AS (SELECT conv_id AS doc_id, text FROM conversations),
+chosen AS (SELECT doc_id, max(text) AS text FROM turns WHERE text <> '' GROUP BY doc_id)"""
+
+
+def several(sql: str) -> str:
+    """Weights from all turns, sentences from the chosen one."""
+    head, tail = sql.split("cut AS (")
+    return f"{TURNS},{head.replace('FROM documents', 'FROM turns')}cut AS ({tail.replace('FROM documents', 'FROM chosen')}"
+
+
 # Link graph
 
 GRAPH = """
@@ -167,6 +179,9 @@ SELECT src, dst, count(*) AS n
 FROM (SELECT src, unnest([part, supp, part]) AS dst FROM {lines}) GROUP BY src, dst"""
 
 
+COUNT_LINKS_COMPAT = COUNT_LINKS.replace("[part, supp, part]", "[part, NULL, supp, part]")
+
+
 def top(order: str = "rank", titles: str = "pages") -> str:
     return (
         f"SELECT page_id, title, round(rank, 6) AS rank FROM ranks JOIN {titles} USING (page_id) "
@@ -178,6 +193,11 @@ def query(tables: str, select: str, recursive: bool = False) -> str:
     return f"WITH {'RECURSIVE ' if recursive else ''}{tables}\n{select}"
 
 
+def numbered_counts(keys: str, order: str) -> str:
+    counts = f"SELECT {keys}, count(*) AS n FROM tokens GROUP BY {keys}"
+    return f"SELECT row_number() OVER (ORDER BY {order}) AS line, * FROM ({counts})"
+
+
 COUNT_WORDS = "SELECT word, count(*) AS n FROM words GROUP BY word"
 COUNT_UNIGRAMS = "SELECT unigram, count(*) AS n FROM tokens GROUP BY unigram"
 TERM_FREQ = "SELECT doc_id, unigram, n, round(tf, 6) AS tf FROM ({}) AS f"
@@ -214,6 +234,9 @@ ORACLE: dict[str, str] = {
     "summaries": query(scored(), "SELECT doc_id, summary FROM summaries"),
     "summaries_compat": query(scored("lax_tokens"), "SELECT doc_id, summary FROM summaries"),
     "parse_links": "WITH " + "distinct_lines AS " + DISTINCT_LINKS + COUNT_LINKS.format(lines="distinct_lines"),
+    "one_article": f"WITH {TURNS} SELECT doc_id, text FROM chosen",
+    "summaries_several": query(several(scored()), "SELECT doc_id, summary FROM summaries"),
+    "parse_links_compat": "WITH " + "distinct_lines AS " + DISTINCT_LINKS + COUNT_LINKS_COMPAT.format(lines="distinct_lines"),
     "parse_links_all": query(LINKS, COUNT_LINKS.format(lines="link_lines")),
     "out_degree": query(GRAPH, "SELECT src AS page_id, count(*) AS degree FROM edges GROUP BY src"),
     "dead_ends": query(
@@ -241,9 +264,32 @@ ORACLE: dict[str, str] = {
     "find_page": query(KEPT, "SELECT page_id FROM target"),
     "keyword_subgraph": query(KEPT, EDGES.format("kept")),
     "inject_links": query(KEPT, EDGES.format(f"({injected('edges')})")),
+    "inject_weighted": query(KEPT, EDGES.format(f"({injected('edges')})")),
+    "link_bomb_ranked": query(
+        BOMB,
+        "SELECT page_id, title, round(rank, 6) AS rank FROM ranks JOIN pages USING (page_id) ORDER BY ranks.rank DESC, page_id",
+        recursive=True,
+    ),
+    "link_bomb_unbought": query(f"{KEPT},{ranks('kept', '0.15 + 0.85 * s')}", RANKS, recursive=True),
     "link_bomb": query(BOMB, RANKS, recursive=True),
     "link_bomb_top": query(BOMB, top(titles=BOMB_PAGES), recursive=True),
     "running_word_count": query(WORD_COUNT, COUNT_WORDS),
+    "running_word_count_emitted": query(
+        words("benchmark", "first") + "," + words("documents", "second"),
+        "SELECT 0 AS batch, word, count(*) AS n FROM first GROUP BY word UNION ALL SELECT 1, word, count(*) "
+        "FROM (SELECT word FROM first UNION ALL SELECT word FROM second) GROUP BY word",
+    ),
+    "vocabulary_lines": query(
+        TOKENS, "SELECT row_number() OVER (ORDER BY unigram) AS line, unigram FROM (SELECT DISTINCT unigram FROM tokens)"
+    ),
+    "doc_profile_lines": query(TOKENS, numbered_counts("doc_id, unigram", "doc_id, n DESC, unigram")),
+    "corpus_profile_lines": query(TOKENS, numbered_counts("unigram", "n DESC, unigram")),
+    "term_freq_lines": query(TOKENS, numbered_counts("doc_id, unigram", "doc_id, unigram")),
+    "term_freq_files": query(
+        TOKENS,
+        "SELECT doc_id, unigram, row_number() OVER (PARTITION BY doc_id ORDER BY unigram) - 1 AS place, 1::BIGINT AS files "
+        "FROM (SELECT DISTINCT doc_id, unigram FROM tokens)",
+    ),
     "weights_roundtrip": query(weights(), TFIDF),
     "links_roundtrip": "WITH " + "distinct_lines AS " + DISTINCT_LINKS + COUNT_LINKS.format(lines="distinct_lines"),
     "profile_tsv": query(TOKENS, "SELECT unigram || chr(9) || count(*) AS line FROM tokens GROUP BY unigram"),

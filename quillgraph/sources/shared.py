@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
 
@@ -30,3 +32,56 @@ def shared_dir(spark: SparkSession) -> str:
 def work_path(spark: SparkSession, name: str) -> str:
     """A new path below the shared folder."""
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+class WorkFolder:
+    """A folder below the shared one for the tables and streams of one job."""
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark = spark
+        self.path = work_path(spark, "work")
+
+    def at(self, name: str) -> str:
+        """A new path in the folder."""
+        return f"{self.path}/{name}-{uuid.uuid4().hex}"
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        """The rows, frozen by a checkpoint that outlives the folder.
+
+        The folder's tables are read for the last time here; executors that
+        are lost later read the checkpoint again.
+        """
+        return df.checkpoint()
+
+    def drop(self) -> None:
+        context = self.spark.sparkContext
+        folder = context._jvm.org.apache.hadoop.fs.Path(self.path)
+        folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+@contextmanager
+def work_folder(spark: SparkSession) -> Iterator[WorkFolder]:
+    """A scoped work folder: all that was written to it goes when the block ends, by an error too.
+
+    What the block returns should have passed :meth:`WorkFolder.keep`. Its
+    checkpoint, like those of the operators, is removed when nothing refers to
+    it any more, if the session was started with
+    ``spark.cleaner.referenceTracking.cleanCheckpoints=true``.
+    """
+    folder = WorkFolder(spark)
+    try:
+        yield folder
+    finally:
+        folder.drop()
+
+
+@contextmanager
+def shuffle_partitions(spark: SparkSession, n: int) -> Iterator[None]:
+    """Plans that run inside the block shuffle to ``n`` partitions."""
+    setting = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, n)
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quillgraph.functions import text as tx
@@ -72,23 +72,44 @@ def number_lines(lines: DataFrame) -> DataFrame:
     """Number the lines of text files from 1: ``(page_id, title)``.
 
     ``lines`` must come from :func:`read_lines`. Files count in path order.
-    The lines are frozen by a checkpoint together with their place in the
-    input, so all that follows sees the same blocks. Each block then needs one
-    offset, the number of lines before it: a running sum over the blocks, which
-    are dealt out by ranges of their place.
     """
-    spark = lines.sparkSession
-    shared_dir(spark)
+    frozen, blocks = _blocks(lines)
+    shifts = running_total(blocks, "rows", "file", "block").withColumn("shift", F.col("before") - F.col("first"))
+    return _shifted(frozen, shifts).select(F.col("line").alias("page_id"), F.col("value").alias("title"))
+
+
+def locate_lines(lines: DataFrame) -> DataFrame:
+    """Each line with its place: ``(file, line, value)``, lines counted from 1 in their file.
+
+    ``file`` is the path of the file; part files of a sorted table stand in
+    the order of their paths.
+    """
+    frozen, blocks = _blocks(lines)
+    inside = F.sum("rows").over(Window.partitionBy("file").orderBy("block")) - F.col("rows")
+    shifts = blocks.withColumn("shift", inside - F.col("first"))
+    return _shifted(frozen, shifts).select("file", "line", "value")
+
+
+def _blocks(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The lines frozen with their place in the input, and the size of each block.
+
+    The checkpoint makes all that follows see the same blocks. A block then
+    needs one offset, the number of lines before it: a running sum over the
+    blocks, which are dealt out by ranges of their place or by file.
+    """
+    shared_dir(lines.sparkSession)
     frozen = lines.select(
-        F.col("value").alias("title"),
+        "value",
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("seq"),
     ).checkpoint()
+    return frozen, frozen.groupBy("file", "block").agg(F.count("*").alias("rows"), F.min("seq").alias("first"))
+
 
-    blocks = frozen.groupBy("file", "block").agg(F.count("*").alias("rows"), F.min("seq").alias("first"))
-    offsets = running_total(blocks, "rows", "file", "block").select("file", "block", (F.col("before") - F.col("first")).alias("shift"))
-    return frozen.join(offsets, ["file", "block"]).select((F.col("seq") + F.col("shift") + 1).alias("page_id"), "title")
+def _shifted(frozen: DataFrame, shifts: DataFrame) -> DataFrame:
+    met = frozen.join(shifts.select("file", "block", "shift"), ["file", "block"])
+    return met.withColumn("line", F.col("seq") + F.col("shift") + 1)
 
 
 def read_weights(spark: SparkSession, path: str, mode: str = "DROPMALFORMED", name: str = "value") -> DataFrame:

@@ -3,9 +3,12 @@ from __future__ import annotations
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 import quillgraph as qg
+from quillgraph.operators.graph import layout_width
 from tests import model
+from tests.plans import executed_plan
 
 TITLES = {1: "Surfing", 2: "Wind_surfing", 3: "Rocky Park", 4: "surf%ing", 5: "Kite SURFING", 6: "Rocky Park", 7: "Lake"}
 
@@ -108,6 +111,43 @@ def test_subgraph_and_injection(spark, pages):
     assert qg.inject_links(kept, 7, copies=3).count() == 14
 
 
+@pytest.mark.parametrize("copies", [0, 1, 5])
+def test_injected_links_are_a_weight(spark, pages, copies):
+    edges = edge_frame(spark, [*BOMB_EDGES, *BOMB_EDGES[:3], (1, 7), (1, None), (9, None)])
+    for target in (7, qg.find_page(pages, "Lake"), qg.find_page(pages, "nowhere")):
+        expected = qg.collapse(qg.inject_links(edges, target, copies)).collect()
+        assert sorted(map(tuple, qg.inject_weighted(qg.collapse(edges), target, copies).collect()), key=str) == sorted(map(tuple, expected), key=str)
+        single = edges.withColumn("copies", F.lit(1))
+        assert sorted(map(tuple, qg.inject_weighted(single, target, copies).collect()), key=str) == sorted(map(tuple, expected), key=str)
+
+
+def test_weighted_links_rank_like_parallel_ones(graph):
+    edges, df = graph
+    assert rank_map(qg.pagerank(qg.collapse(df), 6, 0.15)) == pytest.approx(model.pagerank(edges, 6, 0.15))
+
+
+def test_a_bomb_reads_and_joins_the_links_once(spark, pages, tmp_path):
+    edge_frame(spark, BOMB_EDGES).write.parquet(str(tmp_path / "links"))
+    edges = spark.read.parquet(str(tmp_path / "links"))
+    kept = qg.keyword_subgraph(edges, pages, "surfing").withColumn("copies", F.lit(1))
+    executed = executed_plan(qg.inject_weighted(kept, qg.find_page(pages, "Rocky Park")))
+    assert executed.count("FileScan parquet") == 1
+    assert executed.count("LeftSemi") == 1
+
+
+def test_the_layout_follows_the_number_of_links(spark, graph):
+    assert [layout_width(n, 8) for n in (0, 1, 50_000, 50_001, 10**6, 10**8, 10**12)] == [1, 1, 1, 2, 8, 25, 250_000]
+    _, df = graph
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", 200)
+        # A few hundred links need one partition, whatever the session is set to.
+        assert qg.pagerank(df, 3).rdd.getNumPartitions() == 1
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "200"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def test_link_bomb(spark, pages):
     edges = edge_frame(spark, BOMB_EDGES)
     kept = [e for e in BOMB_EDGES if e[0] in (1, 2, 5)]
