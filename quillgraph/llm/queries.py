@@ -34,7 +34,8 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = suffixdedup.remove_repeats(table(spark, sf_dir, "documents"), length=400)
-    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+    left = F.make_valid_utf8(F.col("kept").cast("string")).alias("text")
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"), left)
 
 
 def _judged(scored: DataFrame, held_out: Column) -> DataFrame:
@@ -77,7 +78,8 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngramjoin.join(table(spark, sf_dir, "documents"), n=4, percent=85)
+    groups = ngramjoin.join(table(spark, sf_dir, "documents"), n=4, percent=85)
+    return groups.select("doc_id", "n_shingles", "component_id")
 
 
 def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -26,11 +26,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillgraph.llm.common import WORD, reach_workers, slices
 from quillgraph.llm.rolling import Ranges, buffer
+from quillgraph.operators.skew import salted_join
 from quillgraph.sources.shared import shared_dir
 
 #: Bytes of a repeated string, and of the pieces that are hashed for anchors.
@@ -39,6 +40,10 @@ LENGTH, GRAM = 400, 100
 CODE, WORD_GRAM = 6, 0.32
 #: Bytes of text that are hashed at once, and suffixes of a batch.
 PART, BATCH = 1 << 20, 4096
+#: Anchors of one piece that are joined in one task.
+TOGETHER = 50_000
+#: Hashes of texts that occur more than once and are broadcast, 8 bytes each.
+COPIES = 1_000_000
 #: Different surroundings of one piece that one task compares; more are dealt out.
 HOT = 20_000
 #: Bits of the distance from a run's first start to its last and to its anchor, in one number with that start.
@@ -147,6 +152,7 @@ class Level:
         return len(self.right)
 
     def merged(self, other: Level) -> Level:
+        # The stable sort is a merge sort that finds ascending runs, of which there are two: it merges them in one go.
         columns = ("right", "left", "low", "high", "name")
         return Level(*(np.concatenate([getattr(self, c), getattr(other, c)]) for c in columns))
 
@@ -268,10 +274,11 @@ def repeats(keyed: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int =
     if length - gram >= 1 << OFFSET:
         raise ValueError(f"strings of {length} bytes need pieces of {length - (1 << OFFSET) + 1} bytes at least")
     rows = _anchor_rows(keyed, length, gram).checkpoint()
-    again = rows.groupBy("piece").agg(F.count("*").alias("n")).filter("n > 1").select("piece")
-    rows = rows.join(again, "piece").checkpoint()
+    again = rows.groupBy("piece").agg(F.count("*").alias("n")).filter("n > 1")
+    rows = salted_join(rows, again, "piece", "key", "n", hot_rows=TOGETHER).drop("n").checkpoint()
     around = rows.groupBy("piece", "around").agg(F.count("*").alias("n"), F.min(F.struct("key", "place")).alias("one")).checkpoint()
-    settled = rows.join(around.filter("n > 1").select("piece", "around"), ["piece", "around"])
+    spot = F.struct("piece", "around").alias("spot")
+    settled = salted_join(rows.select(spot, "key", "place"), around.filter("n > 1").select(spot, "n"), "spot", "key", "n", hot_rows=TOGETHER)
     settled = settled.select("key", _low(F.col("place")).cast("int").alias("start"), (_high(F.col("place")) + length).cast("int").alias("stop"))
     mixed = around.groupBy("piece").agg(F.count("*").alias("kinds")).filter("kinds > 1")
     edges = around.join(mixed, "piece").select("piece", "kinds", "one.*")
@@ -329,6 +336,86 @@ def repeated_words(keyed: DataFrame, words: int, hot: int = HOT) -> DataFrame:
     return found.filter(first <= last).select("key", first.alias("start"), (last + words).alias("stop"))
 
 
+def _with_found(docs: DataFrame, length: int, gram: int, hot: int, words: int | None, name: str) -> DataFrame:
+    """``docs`` with the ranges that repeated strings cover in each text as ``name``: ``(start, stop, worded)``, null if none.
+
+    Texts too short for any repeat go past everything. Equal texts are worked
+    on once: all that is long enough of a text that occurs more than once is
+    repeated, so its rows meet no join, and one of them stands for it against
+    the others. Which texts those are goes to the rows as 64-bit hashes, by
+    broadcast up to COPIES of them.
+    """
+    key, nth = name + "_key", name + "_nth"
+    bytes_ = F.octet_length("text")
+    least = min(length, 2 * words - 1) if words else length
+    keyed = docs.withColumn(key, F.xxhash64("text"))
+    long, short = keyed.filter(bytes_ >= least), keyed.filter(F.coalesce(bytes_, F.lit(0)) < least)
+    repeated = long.groupBy(key).agg(F.count("*").alias(nth)).filter(F.col(nth) > 1).select(key).checkpoint()
+    n = repeated.count()
+    if n <= COPIES:
+        repeated = F.broadcast(repeated)
+    single = long.join(repeated, key, "left_anti") if n else long
+    texts = single.select(F.col(key).alias("key"), "text")
+    if n:
+        several = long.join(repeated, key, "left_semi")
+        first = F.row_number().over(Window.partitionBy("key").orderBy("key"))
+        one = several.select(F.col(key).alias("key"), "text").withColumn("nth", first).filter("nth = 1").drop("nth")
+        texts = texts.unionByName(one)
+    found = repeats(texts, length, gram, hot).withColumn("worded", F.lit(False))
+    if words:
+        found = found.unionByName(repeated_words(texts, words, hot).withColumn("worded", F.lit(True)))
+    per_text = found.groupBy(F.col("key").alias(key)).agg(F.collect_list(F.struct("start", "stop", "worded")).alias(name))
+    none = F.lit(None).cast(per_text.schema[name].dataType)
+    out = single.join(per_text, key, "left").unionByName(short.withColumn(name, none))
+    if n:
+
+        def span(stop: Column, worded: bool) -> Column:
+            return F.struct(F.lit(0).alias("start"), stop.cast("int").alias("stop"), F.lit(worded).alias("worded"))
+
+        whole = F.when(bytes_ >= length, F.array(span(bytes_, False))).otherwise(F.array().cast(per_text.schema[name].dataType))
+        # All words, if they are enough; how many there are is seen where they are taken out.
+        whole = F.concat(whole, F.array(span(F.lit(2**31 - 1), True))) if words else whole
+        out = out.unionByName(several.withColumn(name, whole))
+    return out.drop(key)
+
+
+CUT = "n_bytes bigint, n_removed bigint, n_spans bigint, spans array<struct<start:int,stop:int>>, kept binary"
+
+
+def _cut(words: int | None):
+    """A function of text and ranges found that takes them out: a struct of CUT."""
+
+    @F.arrow_udf(CUT)
+    def cut(parts: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for texts, found in parts:
+            out: tuple[list, ...] = ([], [], [], [], [])
+            for text, spans in zip(texts, found.to_pylist(), strict=True):
+                raw = text.as_buffer().to_pybytes() if text.is_valid else b""
+                worded = join_spans([(s["start"], s["stop"]) for s in spans or () if s["worded"]])
+                places = [m.span() for m in _WORDS.finditer(raw)] if worded else []
+                covered = [(places[a][0], places[min(b, len(places)) - 1][1]) for a, b in worded if min(b, len(places)) - a >= (words or 0)]
+                joined = join_spans([*((s["start"], s["stop"]) for s in spans or () if not s["worded"]), *covered])
+                kept, at = [], 0
+                for a, b in joined:
+                    kept.append(raw[at:a])
+                    at = b
+                whole = b"".join([*kept, raw[at:]])
+                for held, x in zip(out, (len(raw), len(raw) - len(whole), len(joined), [{"start": a, "stop": b} for a, b in joined], whole), strict=True):
+                    held.append(x)
+            span = pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())]))
+            kinds = (pa.int64(), pa.int64(), pa.int64(), span, pa.binary())
+            yield pa.StructArray.from_arrays([pa.array(x, k) for x, k in zip(out, kinds, strict=True)], ["n_bytes", "n_removed", "n_spans", "spans", "kept"])
+
+    return cut
+
+
+def _spare(docs: DataFrame, name: str) -> str:
+    """A name that begins no column of ``docs``."""
+    while any(c.lower().startswith(name) for c in docs.columns):
+        name = "_" + name
+    return name
+
+
 def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HOT, words: int | None = None) -> DataFrame:
     """Every row with the bytes that no repeated string covers: ``(doc_id, n_bytes, n_removed, n_spans, spans, kept)``.
 
@@ -337,9 +424,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot:
     ``spans`` are the maximal removed ranges in bytes, ``kept`` the other bytes
     put together, which need not be whole characters. A null text is empty;
     texts shorter than ``length`` stay whole; repeated rows repeat each other;
-    an empty table gives no rows; other columns are not looked at. Rows are
-    told apart by a 64-bit hash of id and text, equal surroundings by two
-    64-bit hashes.
+    an empty table gives no rows; other columns are not looked at. Texts are
+    told apart by a 64-bit hash, equal surroundings by two.
 
     With ``words``, runs of so many words that also start elsewhere go too,
     from the first letter to the last, however short in bytes and whatever
@@ -349,40 +435,29 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot:
     spark = docs.sparkSession
     shared_dir(spark)
     reach_workers(spark)
-    keyed = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("key"))
-    found = repeats(keyed.select("key", "text"), length, gram, hot).withColumn("worded", F.lit(False))
-    if words:
-        found = found.unionByName(repeated_words(keyed.select("key", "text"), words, hot).withColumn("worded", F.lit(True)))
-    per_row = found.groupBy("key").agg(F.collect_list(F.struct("start", "stop", "worded")).alias("found"))
-    kind = docs.schema["doc_id"].dataType.simpleString()
+    rows = _with_found(docs.select("doc_id", "text"), length, gram, hot, words, "found")
+    return rows.select("doc_id", _cut(words)("text", "found").alias("cut")).select("doc_id", "cut.*")
 
-    def take_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for start, stop in slices(batch.column("text"), PART):
-                part = batch.slice(start, stop - start)
-                out: tuple[list, ...] = ([], [], [], [], [])
-                for text, spans in zip(part.column("text"), part.column("found").to_pylist(), strict=True):
-                    raw = text.as_buffer().to_pybytes() if text.is_valid else b""
-                    worded = join_spans([(s["start"], s["stop"]) for s in spans or () if s["worded"]])
-                    places = [m.span() for m in _WORDS.finditer(raw)] if worded else []
-                    covered = [(places[a][0], places[b - 1][1]) for a, b in worded]
-                    joined = join_spans([*((s["start"], s["stop"]) for s in spans or () if not s["worded"]), *covered])
-                    kept, at = [], 0
-                    for a, b in joined:
-                        kept.append(raw[at:a])
-                        at = b
-                    whole = b"".join([*kept, raw[at:]])
-                    for held, x in zip(out, (len(raw), len(raw) - len(whole), len(joined), [{"start": a, "stop": b} for a, b in joined], whole), strict=True):
-                        held.append(x)
-                span = pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())]))
-                kinds = (pa.int64(), pa.int64(), pa.int64(), span, pa.binary())
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), part.column("key"), *(pa.array(x, k) for x, k in zip(out, kinds, strict=True))],
-                    ["doc_id", "key", "n_bytes", "n_removed", "n_spans", "spans", "kept"],
-                )
 
-    schema = f"doc_id {kind}, key bigint, n_bytes bigint, n_removed bigint, n_spans bigint, spans array<struct<start:int,stop:int>>, kept binary"
-    return keyed.join(per_row, "key", "left").select("doc_id", "key", "text", "found").mapInArrow(take_out, schema)
+def without_repeats(docs: DataFrame, length: int = LENGTH, words: int | None = None) -> DataFrame:
+    """The rows of ``docs``, all columns, with what :func:`remove_repeats` leaves of their texts.
+
+    Characters cut in half go with the cut. Texts of which nothing but blanks
+    is left go, those without a repeat stay as they are; ``n_chars``, if
+    there, is counted anew where a text was cut.
+    """
+    spark = docs.sparkSession
+    shared_dir(spark)
+    reach_workers(spark)
+    name = _spare(docs, "_found")
+    rows = _with_found(docs, length, GRAM, HOT, words, name).withColumn(name, _cut(words)("text", name))
+    removed, kept = F.col(f"{name}.n_removed") > 0, F.col(f"{name}.kept").cast("string")
+    left = F.coalesce(F.try_validate_utf8(kept), F.regexp_replace(F.make_valid_utf8(kept), "\ufffd", ""))
+    rows = rows.withColumn("text", F.when(removed, left).otherwise(F.col("text"))).filter(~removed | (F.trim("text") != ""))
+    if "n_chars" in docs.columns:
+        counted = F.length("text").cast(docs.schema["n_chars"].dataType)
+        rows = rows.withColumn("n_chars", F.when(removed, counted).otherwise(F.col("n_chars")))
+    return rows.select(*docs.columns)
 
 
 def join_spans(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:

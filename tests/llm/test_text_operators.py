@@ -16,7 +16,9 @@ EMPTY: list[tuple] = []
 
 @pytest.fixture(scope="module")
 def docs(spark):
-    return spark.createDataFrame(CORPUS, SCHEMA).repartition(3).cache()
+    held = spark.createDataFrame(CORPUS, SCHEMA).repartition(3).cache()
+    yield held
+    held.unpersist()
 
 
 @pytest.fixture(scope="module")
@@ -95,6 +97,59 @@ def test_copies_that_drift_apart(spark, base):
     assert 20 < len({c for _, c in expected.values()}) < 155
 
 
+CHAIN = " ".join(f"w{i}" for i in range(100))
+
+
+def test_rows_without_an_id_link(spark):
+    """1 and 3 are linked by a row without an id only."""
+    one, three = CHAIN.replace("w0 ", "a ").replace("w1 ", "b "), CHAIN + " c d e"
+    plain = [(1, one), (2, CHAIN), (3, three)]
+    assert {c for _, c in similar_groups([plain[0], plain[2]], 4, 95).values()} == {1, 3}
+    assert {c for _, c in similar_groups(plain, 4, 95).values()} == {1}
+    rows = [(1, one), (None, CHAIN), (3, three), (None, "q r s t u"), (None, "q r s t u"), (9, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    got = sorted(((r.doc_id, r.component_id) for r in ngramjoin.join(docs, 4, 95).collect()), key=str)
+    assert got == sorted([(1, 1), (None, 1), (3, 1), (None, None), (None, None), (9, 9)], key=str)
+    kept = sorted((str(r.doc_id), r.text) for r in ngramjoin.one_of_each(docs, 4, 95).collect())
+    assert kept == sorted([("1", one), ("None", "q r s t u"), ("9", None)], key=str)
+
+
+def test_rows_of_one_id_link_what_either_links(spark):
+    other = " ".join(f"v{i}" for i in range(80))
+    rows = [(5, CHAIN), (5, other), (2, CHAIN + " x"), (8, other + " y"), (8, other + " y"), (1, "alone in the world of words")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(2)
+    got = sorted((r.doc_id, r.component_id) for r in ngramjoin.join(docs, 4, 85).collect())
+    assert got == [(1, 1), (2, 2), (5, 2), (5, 2), (8, 2), (8, 2)]
+    assert sorted(r.doc_id for r in ngramjoin.one_of_each(docs, 4, 85).collect()) == [1, 2]
+
+
+@pytest.mark.parametrize(("together", "tile"), [(1, 4096), (250_000, 8), (2, 5)])
+def test_dealt_out_ngrams_and_tiles_lose_no_link(spark, together, tile):
+    rng = random.Random(9)
+    words = [f"w{rng.randrange(10**6)}" for _ in range(90)]
+    plain = []
+    for i in range(120):
+        own = list(words)
+        for at in rng.sample(range(90), rng.randint(1, 5)):
+            own[at] = f"e{rng.randrange(10**6)}"
+        plain.append((i, " ".join(own)))
+    got = ngramjoin.join(spark.createDataFrame(plain, "doc_id bigint, text string").repartition(4), 4, 85, together, tile)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got.collect()} == similar_groups(plain, 4, 85)
+
+
+@pytest.mark.parametrize("copies", [0, 10**6])
+def test_texts_that_occur_often_are_worked_on_once(spark, monkeypatch, copies):
+    monkeypatch.setattr(suffixdedup, "COPIES", copies)
+    monkeypatch.setattr(suffixdedup, "TOGETHER", 3)
+    rng = random.Random(2)
+    texts = [" ".join(f"w{rng.randrange(500)}" for _ in range(60)) for _ in range(4)]
+    rows = [(None, texts[0])] * 30 + [(i, texts[0]) for i in range(30)] + [(50, texts[1]), (51, texts[2][:90] + texts[0][20:120] + texts[2][90:]), (52, "short"), (53, "short"), (54, None), (55, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    got = sorted(((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, sha(bytes(r.kept))) for r in suffixdedup.remove_repeats(docs, 60, 20).collect()), key=str)
+    expected = [(d, *x) for (d, _), x in zip(rows, without_repeats([t for _, t in rows], 60), strict=True)]
+    assert got == sorted(expected, key=str)
+
+
 def test_no_rows_no_groups(none):
     assert ngramjoin.join(none).count() == 0
 
