@@ -1,8 +1,9 @@
 """Approximate nearest neighbours: a hierarchical navigable small-world graph per shard.
 
 A shard's vectors enter the graph in random order, each linking to diverse
-near ones among those before it, on every layer up to its own. Neighbours are
-kept as flat arrays with offsets. A search descends the layers greedily and
+near ones among those before it, on every layer up to its own. The near ones
+come from all distances within the shard, computed as one matrix product, so a
+build takes the square of a shard, not of the table. Neighbours are kept as flat arrays with offsets. A search descends the layers greedily and
 keeps a beam on the lowest; the shards' results are merged.
 
 Equal vectors are one node, so that copies fill no links and no beam. A node

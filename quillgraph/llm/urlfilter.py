@@ -14,10 +14,15 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quillgraph.operators.skew import salted_join
+from quillgraph.sources.shared import shared_dir
+
 #: Labelled URLs that the trees are fitted on at most, the first ones by hash.
 TRAIN_ROWS = 20_000
-#: Suffixes of each kind whose block share is a feature; all others get the share of all.
-SUFFIXES = 100
+#: Suffixes whose shares are broadcast, two numbers each; beyond that URLs are joined with them, hot suffixes dealt out.
+SUFFIXES = 1_000_000
+#: Tasks that the trees are fitted in.
+FIT_TASKS = 8
 #: Rules are compared one by one with each URL, so their number is bounded.
 MAX_RULES = 1_000
 
@@ -122,21 +127,33 @@ def lexical(urls: DataFrame) -> DataFrame:
 
 @dataclass
 class UrlModel:
-    """Fitted trees with the suffix shares they were fitted on; trees is None if there was one class at most."""
+    """Fitted trees and suffix shares; trees is None if there was one class at most.
+
+    ``shares`` has for each kind of suffix its table ``(suffix, share)``, a
+    suffix named by its 64-bit hash, and how many rows that has.
+    """
 
     prior: float
-    shares: dict[str, dict[str, float]]
+    shares: dict[str, tuple[DataFrame, int]]
     trees: GBTClassificationModel | None
 
     def features(self, urls: DataFrame) -> DataFrame:
         """``urls (url, host, path, ...)`` with all features as numbers and no null."""
         made = lexical(urls)
         for kind in ("tld", "domain"):
-            known = [F.lit(x) for pair in sorted(self.shares[kind].items()) for x in pair]
-            share = F.element_at(F.create_map(*known), F.col(kind)) if known else F.lit(None).cast("double")
-            made = made.withColumn(f"{kind}_share", F.coalesce(share, F.lit(self.prior)))
+            made = self._with_share(made.withColumn("suffix", F.xxhash64(kind)), kind).drop("suffix")
         return made.drop("tld", "domain").withColumns({x: F.col(x).cast("double") for x in NUMBERS})
 
+    def _with_share(self, urls: DataFrame, kind: str) -> DataFrame:
+        """Adds the block share of a URL's ``suffix``, the share of all if no label knows it."""
+        shares, n = self.shares[kind]
+        if n <= SUFFIXES:
+            met = urls.join(F.broadcast(shares), "suffix", "left")
+        else:
+            named = urls.groupBy("suffix").agg(F.count("*").alias("times")).join(shares, "suffix", "left")
+            met = salted_join(urls, named, "suffix", "url", "times").drop("times")
+        return met.withColumn(f"{kind}_share", F.coalesce("share", F.lit(self.prior))).drop("share")
+
     def score(self, urls: DataFrame) -> DataFrame:
         """Adds ``score``, the chance that a URL is one to block, to ``(url, host, path, ...)``."""
         kept = urls.columns
@@ -150,29 +167,31 @@ class UrlModel:
 def fit(labelled: DataFrame, train_rows: int = TRAIN_ROWS, rounds: int = 20, depth: int = 4, smooth: float = 10.0) -> UrlModel:
     """Trees from labelled URLs ``(url, host, path, blocked)``, blocked 0 or 1.
 
-    Fitted on the ``train_rows`` first of the distinct URLs by hash. Suffix
-    statistics are the smoothed block shares of the last label and of the last
-    two labels of the host, over the same rows.
+    The trees are fitted on the ``train_rows`` first of the distinct labelled
+    URLs by hash. Suffix statistics are the smoothed block shares of the last
+    label and of the last two labels of the host, of every suffix over all
+    distinct labelled URLs.
     """
+    shared_dir(labelled.sparkSession)
     rows = labelled.select("url", "host", "path", F.col("blocked").cast("double").alias("blocked")).filter("url is not null")
-    sample = rows.distinct().orderBy(F.xxhash64("url"), "url", "blocked").limit(train_rows).persist()
-    try:
-        n, blocked = sample.agg(F.count("*"), F.coalesce(F.sum("blocked"), F.lit(0.0))).first()
-        prior = blocked / n if n else 0.0
-        if blocked in (0, n):
-            return UrlModel(prior, {"tld": {}, "domain": {}}, None)
-        named, shares = lexical(sample), {}
-        for kind in ("tld", "domain"):
-            top = named.groupBy(kind).agg(F.count("*").alias("n"), F.sum("blocked").alias("b")).orderBy(F.desc("n"), kind).limit(SUFFIXES)
-            shares[kind] = {r[kind]: (r["b"] + smooth * prior) / (r["n"] + smooth) for r in top.collect()}
-        model = UrlModel(prior, shares, None)
-        made = VectorAssembler(inputCols=list(NUMBERS), outputCol="_features").transform(model.features(sample))
-        learner = GBTClassifier(featuresCol="_features", labelCol="blocked", predictionCol="_predicted", maxIter=rounds, maxDepth=depth, seed=7)
-        learner = learner.setProbabilityCol("_chance").setRawPredictionCol("_raw")
-        model.trees = learner.fit(made.select("_features", "blocked"))
-        return model
-    finally:
-        sample.unpersist()
+    rows = rows.distinct().checkpoint()
+    n, blocked = rows.agg(F.count("*"), F.coalesce(F.sum("blocked"), F.lit(0.0))).first()
+    prior = blocked / n if n else 0.0
+    if blocked in (0, n):
+        return UrlModel(prior, {}, None)
+    sample = rows.orderBy(F.xxhash64("url"), "url", "blocked").limit(train_rows)
+    sample = sample.repartition(FIT_TASKS, "url").sortWithinPartitions(F.xxhash64("url"), "url", "blocked").checkpoint()
+    named, shares = lexical(rows), {}
+    for kind in ("tld", "domain"):
+        share = (F.sum("blocked") + smooth * prior) / (F.count("*") + smooth)
+        held = named.groupBy(F.xxhash64(kind).alias("suffix")).agg(share.alias("share")).checkpoint()
+        shares[kind] = held, held.count()
+    model = UrlModel(prior, shares, None)
+    made = VectorAssembler(inputCols=list(NUMBERS), outputCol="_features").transform(model.features(sample))
+    learner = GBTClassifier(featuresCol="_features", labelCol="blocked", predictionCol="_predicted", maxIter=rounds, maxDepth=depth, seed=7)
+    learner = learner.setProbabilityCol("_chance").setRawPredictionCol("_raw")
+    model.trees = learner.fit(made.select("_features", "blocked"))
+    return model
 
 
 def judge(pages: DataFrame, rules: list[Rule], labelled: DataFrame | None = None, **options) -> DataFrame:
@@ -183,7 +202,8 @@ def judge(pages: DataFrame, rules: list[Rule], labelled: DataFrame | None = None
     from; if it is None, those are the URLs that a rule decides. A null or
     malformed URL has an empty host and path and is scored like any other;
     repeated rows are judged alike; an empty table gives no rows; columns
-    other than page_id and url are not looked at.
+    other than page_id and url are not looked at. More than ``MAX_RULES`` rules
+    raise an error.
     """
     host, path = split_url(F.col("url"))
     parts = pages.select("page_id", "url", host.alias("host"), path.alias("path"))

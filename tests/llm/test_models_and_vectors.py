@@ -139,6 +139,32 @@ def test_url_rules(spark):
     assert urlfilter.judge(pages.limit(0), queries.RULES).count() == 0
 
 
+@pytest.mark.parametrize("broadcast", [0, 10**6])
+def test_every_suffix_has_its_share(spark, monkeypatch, broadcast):
+    """More suffixes than any list would hold; shares, entropy and counts against plain Python."""
+    monkeypatch.setattr(urlfilter, "SUFFIXES", broadcast)
+    urls = [(f"http://h{i % 3}.d{i % 150}.t{i % 30}/a/B%20{i}?x=1&y=2", int(i % 150 < 60)) for i in range(600)]
+    labelled = spark.createDataFrame([*urls, urls[0], (None, 1)], "url string, blocked int")
+    host, path = urlfilter.split_url(F.col("url"))
+    model = urlfilter.fit(labelled.select("url", host.alias("host"), path.alias("path"), "blocked"), rounds=2, depth=2)
+    prior = sum(b for _, b in urls) / len(urls)
+    asked = [*(u for u, _ in urls[:200]), "http://new.place/x", None]
+    frame = spark.createDataFrame([(u,) for u in asked], "url string").select("url", host.alias("host"), path.alias("path"))
+    got = {r.url: r for r in model.features(frame).collect()}
+    assert len(got) == len(asked)
+    for u in asked:
+        name = u.split("/")[2] if u else ""
+        for kind, suffix in (("tld_share", name.split(".")[-1]), ("domain_share", ".".join(name.split(".")[-2:]))):
+            own = [b for x, b in urls if x.split("/")[2].endswith(suffix) and ("." + x.split("/")[2]).endswith("." + suffix)]
+            assert got[u][kind] == pytest.approx((sum(own) + 10 * prior) / (len(own) + 10))
+        text = u or ""
+        kinds = [c if c in "abcdefghijklmnopqrstuvwxyz" + urlfilter.MARKS else "0" if c.isdigit() else "rest" for c in text.lower()]
+        shares = [kinds.count(k) / len(kinds) for k in set(kinds)]
+        assert got[u].entropy == pytest.approx(-sum(p * np.log2(p) for p in shares))
+        assert got[u].n_url == len(text) and got[u].digits == pytest.approx(sum(c.isdigit() for c in text) / max(1, len(text)))
+        assert got[u].params == text.count("&") + (1 if "?" in text else 0) and got[u].escapes == pytest.approx(text.count("%") / max(1, len(text)))
+
+
 def test_urls_learned_from_labels(spark):
     urls = [f"http://{'win-cash-77' if i % 3 == 0 else 'quiet'}.example{i % 5}.net/p/{i}" for i in range(400)]
     frame = spark.createDataFrame([(i, u) for i, u in enumerate(urls)], "page_id bigint, url string")
