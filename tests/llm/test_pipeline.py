@@ -1,9 +1,12 @@
 from __future__ import annotations
 
+import random
+
 import corpus_pipeline
 import pytest
 
-from tests.llm.helpers import similar_groups, without_repeats
+from tests.llm.helpers import similar_groups
+from tests.llm.test_repeated_words import without_runs
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -39,16 +42,46 @@ def test_one_of_each_group_stays(steps):
 
 
 def test_repeats_are_cut(steps):
-    expected = without_repeats([r.text for r in steps[2]], 400)
+    """Byte strings of 400 and runs of 51 words go; the texts left hold what neither covers."""
+    expected = without_runs([r.text for r in steps[2]], 51, 400)
     after = {r.doc_id: r for r in steps[3]}
-    for r, (n, removed, _, _) in zip(steps[2], expected, strict=True):
-        if removed < n:
-            cut = len(after[r.doc_id].text.encode())
-            assert n - removed - 8 * (removed > 0) <= cut <= n - removed
-        elif n:
+    assert len(after) == len(steps[3])
+    for r, left in zip(steps[2], expected, strict=True):
+        if left == (r.text or "").encode():
+            assert after[r.doc_id].text == r.text
+        elif left.strip(b" "):
+            # Characters cut in half go too.
+            assert after[r.doc_id].text == left.decode(errors="ignore")
+            assert after[r.doc_id].n_chars == len(after[r.doc_id].text)
+        else:
             assert r.doc_id not in after
 
 
+AWKWARD = "doc_id bigint, text string, lang string, source string, n_chars bigint, _key string, _found int, _n bigint, _times string, key int, score double"
+
+
+def test_stages_take_awkward_rows(spark, tmp_path):
+    """Nulls anywhere, no rows, repeated rows, clashing names: every stage ends, with the columns it was given."""
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 7)))
+    texts = [" ".join(word() for _ in range(rng.randint(3, 120))) for _ in range(30)]
+    texts += [texts[0], texts[1] + " more", None, "", " \n", "x" * 5000, " ".join(texts[2:6])]
+    extra = (None, "k", 1, None, "t", 2, 0.5)
+    rows = [(i if i % 9 else None, t, "en", f"s{i % 3}" if i % 4 else None, len(t or ""), *extra[1:]) for i, t in enumerate(texts)]
+    rows += [rows[4], rows[4], (None, texts[7], None, None, None, *extra[1:])]
+    for held in (rows, []):
+        docs = spark.createDataFrame(held, AWKWARD)
+        names, last = docs.columns, None
+        for name, stage in corpus_pipeline.STAGES:
+            path = str(tmp_path / f"{name}-{len(held)}")
+            stage(spark, docs, SMALL).write.parquet(path)
+            last, docs = docs, spark.read.parquet(path)
+            if name != "bpe":
+                assert docs.columns == names
+            assert docs.count() > 0 if held else docs.count() == 0
+        assert docs.count() == last.count()
+
+
 def test_mix_and_ids(steps):
     mixed = [r.doc_id for r in steps[4]]
     assert max(mixed.count(i) for i in set(mixed)) <= 3
