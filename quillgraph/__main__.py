@@ -54,7 +54,8 @@ def main(arguments: Sequence[str] | None = None) -> None:
     out = options.pop("out") if program is jobs.ranked_pages else None
     if out is not None:
         options["k"] = None
-    result = program(SparkSession.builder.appName("quillgraph").getOrCreate(), **options)
+    builder = SparkSession.builder.appName("quillgraph").config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
+    result = program(builder.getOrCreate(), **options)
     if out is not None:
         result.write.text(out)
     elif isinstance(result, DataFrame):

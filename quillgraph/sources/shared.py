@@ -77,7 +77,7 @@ def work_folder(spark: SparkSession) -> Iterator[WorkFolder]:
 
 @contextmanager
 def shuffle_partitions(spark: SparkSession, n: int) -> Iterator[None]:
-    """Plans that run inside the block shuffle to ``n`` partitions."""
+    """Plans that run inside the block shuffle to ``n`` partitions. The setting is the session's, so it holds for all its threads."""
     setting = "spark.sql.shuffle.partitions"
     before = spark.conf.get(setting)
     spark.conf.set(setting, n)
