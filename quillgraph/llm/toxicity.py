@@ -1,11 +1,12 @@
 """Toxicity by a weighted finite-state grammar of clauses.
 
-Five small transducers read the words of a clause: insult, threat, target,
-negation and reported speech. Their composition is one table of transitions
-that marks each insult or threat with what surrounds it. A matched clause
-scores the weight of its words times the weight of its marks; a word alone
-decides nothing. The weights of the marks, and which words are insults beside
-a fixed list, are learned from labelled documents.
+Insults and threats are looked up in lists. Three small transducers, for
+targets, negation and reported speech, are composed to one table of
+transitions that marks each of them with what surrounds it in its clause. A
+document scores the sums of its words by mark. Words that are aimed at nobody
+have a mark and a weight of their own and do score: toxic documents of the
+given labels hold insults without a target. The weights of the marks, and which
+words are insults beside a fixed list, are learned from labelled documents.
 """
 
 from __future__ import annotations
@@ -231,27 +232,27 @@ def score(docs: DataFrame, known: Grammar) -> DataFrame:
     """
     reach_workers(docs.sparkSession)
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(_scorer(known, ["doc_id"]), f"doc_id {kind}, score double")
 
-
-def _scorer(known: Grammar, columns: list[str]):
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start, stop in slices(batch.column("text"), 4 << 20):
+            for start, stop in slices(batch.column("text"), 1 << 20):
                 part = batch.slice(start, stop - start)
                 scores = [known.score(t or "") for t in part.column("text").to_pylist()]
-                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in columns), pa.array(scores, pa.float64())], [*columns, "score"])
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(scores, pa.float64())], ["doc_id", "score"])
 
-    return judge
+    return docs.select("doc_id", "text").mapInArrow(judge, f"doc_id {kind}, score double")
 
 
 def reject(docs: DataFrame, known: Grammar, limit: float = 0.5) -> DataFrame:
-    """The rows of ``docs``, all columns, whose text scores below ``limit``."""
+    """The rows of ``docs``, all columns, whose text scores below ``limit``.
+
+    Only the texts go to Python, and only scores come back.
+    """
     reach_workers(docs.sparkSession)
-    names = [f"c{i}" for i in range(len(docs.columns))]
-    text = names[docs.columns.index("text")]
-    plain = docs.toDF(*names)
-    judged = plain.withColumn("text", F.col(text))
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in plain.schema) + ", score double"
-    kept = judged.mapInArrow(_scorer(known, names), schema).filter(F.col("score") < limit)
-    return kept.drop("score").toDF(*docs.columns)
+
+    @F.arrow_udf("double")
+    def judge(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in parts:
+            yield pa.array([known.score(t.as_py() or "") for t in texts], pa.float64())
+
+    return docs.filter(judge("text") < limit)
