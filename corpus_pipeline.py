@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from quillgraph.llm import mixing, ngramjoin, suffixdedup, toxicity, wordbpe
 from quillgraph.llm.common import table
-from quillgraph.sources.shared import work_path
+from quillgraph.sources.shared import work_folder
 
 #: Text models and exact substring search are no SQL; tests hold the stages against brute force.
 ORACLE_SQL = None
@@ -27,14 +27,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by five-word shingles at a similarity of 0.8, the one with the smallest id stays.
-
-    Of several rows with that id one stays; rows without an id all do.
-    """
-    groups = ngramjoin.join(docs, n=5, percent=80)
-    kept = groups.filter("doc_id = component_id").select("doc_id").distinct()
-    named = docs.filter("doc_id is not null").dropDuplicates(["doc_id"]).join(kept, "doc_id", "left_semi")
-    return named.unionByName(docs.filter("doc_id is null")).select(*docs.columns)
+    """Of documents linked by five-word shingles at a similarity of 0.8, the one with the smallest id stays."""
+    return ngramjoin.one_of_each(docs, n=5, percent=80)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,16 +36,7 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Texts of which nothing is left go; ``n_chars``, if there, is counted anew.
     """
-    whole = docs.withColumn("_key", F.xxhash64("doc_id", "text"))
-    kept = suffixdedup.remove_repeats(docs, length=400, words=51).filter("n_removed > 0")
-    kept = kept.groupBy("key").agg(F.first("kept").alias("_kept")).withColumnRenamed("key", "_key")
-    left = F.try_validate_utf8(F.col("_kept").cast("string"))
-    cut = whole.join(kept, "_key", "left")
-    text = F.when(F.col("_kept").isNull(), F.col("text")).otherwise(F.coalesce(left, F.regexp_replace(F.make_valid_utf8(F.col("_kept").cast("string")), "�", "")))
-    cut = cut.withColumn("text", text).filter(F.col("_kept").isNull() | (F.trim("text") != ""))
-    if "n_chars" in docs.columns:
-        cut = cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return cut.select(*docs.columns)
+    return suffixdedup.without_repeats(docs, length=400, words=51)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -63,18 +48,24 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     mix takes no word of, such as documents without words, goes; ``n_chars``,
     if there, is counted anew for a part.
     """
-    key = lambda n: F.xxhash64("doc_id", F.isnull("doc_id"), "source", F.isnull("source"), n)
-    taken = mixing.mix(docs).select(key("size").alias("_key"), "size", "taken").groupBy("_key").agg(F.sum("taken").alias("_taken"), F.sum("size").alias("_all"))
-    sized = docs.withColumn("_n", mixing.n_words(F.col("text"))).withColumn("_key", key("_n"))
-    nth = F.row_number().over(Window.partitionBy("_key").orderBy(F.xxhash64("text"))) - 1
-    met = sized.join(taken.filter("_taken > 0"), "_key").withColumn("_nth", nth).withColumn("_whole", F.expr("_taken div _all"))
-    part = F.greatest(F.least(F.col("_taken") % F.col("_all") - F.col("_nth") * F.col("_n"), F.col("_n")), F.lit(0))
-    met = met.withColumn("_part", part.cast("int")).withColumn("_times", F.col("_whole") + (F.col("_part") > 0).cast("long")).filter("_times > 0")
-    met = met.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_times"))))
-    cut = (F.col("_copy") > F.col("_whole")) & (F.col("_part") < F.col("_n"))
-    met = met.withColumn("_cut", cut).withColumn("text", F.when(F.col("_cut"), mixing.first_words(F.col("text"), F.col("_part"))).otherwise(F.col("text")))
+    spare = "_mix"
+    while any(c.lower().startswith(spare) for c in docs.columns):
+        spare = "_" + spare
+    key, n, nth, whole, part, copy = (f"{spare}_{x}" for x in ("key", "n", "nth", "whole", "part", "copy"))
+    taken, all_, cut, times = f"{spare}_taken", f"{spare}_all", f"{spare}_cut", f"{spare}_times"
+    named = lambda size: F.xxhash64("doc_id", F.isnull("doc_id"), "source", F.isnull("source"), size)
+    sums = mixing.mix(docs).select(named("size").alias(key), "size", "taken").groupBy(key).agg(F.sum("taken").alias(taken), F.sum("size").alias(all_))
+    sized = docs.withColumn(n, mixing.n_words(F.col("text"))).withColumn(key, named(n))
+    place = F.row_number().over(Window.partitionBy(key).orderBy(F.xxhash64("text"))) - 1
+    met = sized.join(sums.filter(F.col(taken) > 0), key).withColumn(nth, place).withColumn(whole, F.expr(f"{taken} div {all_}"))
+    rest = F.greatest(F.least(F.col(taken) % F.col(all_) - F.col(nth) * F.col(n), F.col(n)), F.lit(0))
+    met = met.withColumn(part, rest.cast("int")).withColumn(times, F.col(whole) + (F.col(part) > 0).cast("long")).filter(F.col(times) > 0)
+    met = met.withColumn(copy, F.explode(F.sequence(F.lit(1).cast("long"), F.col(times))))
+    met = met.withColumn(cut, (F.col(copy) > F.col(whole)) & (F.col(part) < F.col(n)))
+    met = met.withColumn("text", F.when(F.col(cut), mixing.first_words(F.col("text"), F.col(part))).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
-        met = met.withColumn("n_chars", F.when(F.col("_cut"), F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
+        counted = F.length("text").cast(docs.schema["n_chars"].dataType)
+        met = met.withColumn("n_chars", F.when(F.col(cut), counted).otherwise(F.col("n_chars")))
     return met.select(*docs.columns)
 
 
@@ -95,10 +86,11 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each written to the shared folder and read again."""
+    """All stages over ``documents``, each written to the shared folder and read again; the folder goes when the last has ended."""
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
-        path = work_path(spark, name)
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
-    return STAGES[-1][1](spark, docs, sf_dir)
+    with work_folder(spark) as work:
+        for name, stage in STAGES[:-1]:
+            path = work.at(name)
+            stage(spark, docs, sf_dir).write.parquet(path)
+            docs = spark.read.parquet(path)
+        return work.keep(STAGES[-1][1](spark, docs, sf_dir))
