@@ -38,6 +38,22 @@ def reach_workers(spark: SparkSession) -> None:
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [home, known]))
 
 
+def spare_memory(spark: SparkSession, rows: int = 1000) -> None:
+    """Let Python workers of this session give memory back, and hand them few rows at a time.
+
+    For jobs of many stages, whose workers live on from stage to stage: large
+    arrays are mapped by themselves and unmapped when freed, and a batch of
+    long texts is not held in full by the JVM and by Python. Settings that the
+    session's user has made stay.
+    """
+    reach_workers(spark)
+    for name, value in (("MALLOC_ARENA_MAX", "2"), ("MALLOC_MMAP_THRESHOLD_", "1048576"), ("MALLOC_TRIM_THRESHOLD_", "1048576"), ("ARROW_DEFAULT_MEMORY_POOL", "system")):
+        spark.sparkContext.environment.setdefault(name, value)
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(setting) == "10000":
+        spark.conf.set(setting, rows)
+
+
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
