@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quillgraph.llm import mixing, ngramjoin, suffixdedup, toxicity, wordbpe
-from quillgraph.llm.common import table
+from quillgraph.llm.common import spare_memory, table
 from quillgraph.sources.shared import work_folder
 
 #: Text models and exact substring search are no SQL; tests hold the stages against brute force.
@@ -22,12 +22,14 @@ ORACLE_SQL = None
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the clause grammar scores 0.5 or more go. It learns from all labels of documents at hand."""
+    spare_memory(spark)
     known = toxicity.fit(docs, table(spark, sf_dir, "labels"), F.lit(True))
     return toxicity.reject(docs, known, 0.5)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents linked by five-word shingles at a similarity of 0.8, the one with the smallest id stays."""
+    spare_memory(spark)
     return ngramjoin.one_of_each(docs, n=5, percent=80)
 
 
@@ -36,6 +38,7 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Texts of which nothing is left go; ``n_chars``, if there, is counted anew.
     """
+    spare_memory(spark)
     return suffixdedup.without_repeats(docs, length=400, words=51)
 
 
@@ -48,6 +51,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     mix takes no word of, such as documents without words, goes; ``n_chars``,
     if there, is counted anew for a part.
     """
+    spare_memory(spark)
     spare = "_mix"
     while any(c.lower().startswith(spare) for c in docs.columns):
         spare = "_" + spare
@@ -71,6 +75,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix as token ids: ``(doc_id, n_tokens, ids_sha256, decoded_sha256)``."""
+    spare_memory(spark)
     file = public_tokenizers.path("byte_bpe_50k.json")
     decoded = wordbpe.decode(wordbpe.encode(docs, file), file)
     return decoded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"))
