@@ -15,6 +15,7 @@ from quillgraph.operators.graph import (
 )
 from quillgraph.operators.numbering import numbered, running_total
 from quillgraph.operators.profiles import (
+    article_counts,
     corpus_profile,
     doc_profile,
     explode_lines,
@@ -33,10 +34,12 @@ from quillgraph.operators.summarize import (
     summarize,
     top_sentences,
 )
-from quillgraph.operators.tfidf import article_idf, combine_weights, corpus_size, doc_freq, idf, term_freq, tf_idf
+from quillgraph.operators.tfidf import article_idf, article_tf, combine_weights, corpus_size, doc_freq, idf, term_freq, tf_idf
 
 __all__ = [
+    "article_counts",
     "article_idf",
+    "article_tf",
     "attach_scores",
     "bomb_pages",
     "collapse",

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillgraph.functions import text as tx
+from quillgraph.operators.records import own_counts, records
 
 
 def tokenize(
@@ -22,7 +23,8 @@ def tokenize(
     if keep_empty:
         raw = df.select(*keys, F.explode(tx.raw_tokens(F.col(col))).alias("_token")).filter("_token <> ''")
         return raw.select(*keys, tx.normalize(F.col("_token"), compat).alias("unigram"))
-    return df.select(*keys, F.explode(tx.unigrams(F.col(col), compat)).alias("unigram")).filter("unigram <> ''")
+    # Not a plain explode: Spark would push a test that there are tokens down to the scan, and split the text there once more.
+    return df.select(*keys, F.explode_outer(tx.unigrams(F.col(col), compat)).alias("unigram")).filter("unigram <> ''")
 
 
 def tokenize_raw(df: DataFrame, col: str = "value", keys: tuple[str, ...] = ()) -> DataFrame:
@@ -55,7 +57,7 @@ def doc_profile(articles: DataFrame, limit: int | None = None, keep_empty: bool
     The sort key ends with the unigram, so a range partition can cut through
     the terms of one large article.
     """
-    counts = term_counts(tokenize(articles, keep_empty=keep_empty))
+    counts = term_counts(tokenize(articles, keep_empty=True)) if keep_empty else article_counts(articles)
     ranked = counts.orderBy("doc_id", F.desc("n"), "unigram")
     return ranked if limit is None else ranked.limit(limit)
 
@@ -70,3 +72,9 @@ def corpus_profile(articles: DataFrame, limit: int | None = None, keep_empty: bo
 def term_counts(tokens: DataFrame) -> DataFrame:
     """Raw frequency of each unigram in each document: ``(doc_id, unigram, n)``."""
     return tokens.groupBy("doc_id", "unigram").agg(F.count("*").alias("n"))
+
+
+def article_counts(articles: DataFrame) -> DataFrame:
+    """As :func:`term_counts` over the unigrams of articles, counted in the record where ids are unique."""
+    found = records(articles, without_id=True)
+    return own_counts(found.rows).drop("max_n") if found.unique else term_counts(tokenize(articles))

@@ -6,8 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillgraph.functions import text as tx
-from quillgraph.operators.profiles import term_counts
+from quillgraph.operators.profiles import term_counts, tokenize
+from quillgraph.operators.records import Records, own_counts, own_doc_freq, own_terms, records, with_doc_freq
 from quillgraph.operators.skew import salted_join
+from quillgraph.sources.shared import shared_dir
 
 # What no unigram holds: a blank before a lax token, and the row that stands for a record.
 LAX = " "
@@ -23,6 +25,16 @@ def term_freq(tokens: DataFrame, **skew) -> DataFrame:
     return _with_tf(_counts(tokens), skew).select("doc_id", "unigram", "n", "tf")
 
 
+def article_tf(articles: DataFrame, compat: bool = False, **skew) -> DataFrame:
+    """As :func:`term_freq` over the unigrams of articles, counted in the record where ids are unique."""
+    found = records(articles)
+    if not found.unique:
+        return term_freq(tokenize(articles, compat=compat), **skew)
+    n = F.col("lax" if compat else "n")
+    counts = own_counts(found.rows, compat).filter(n > 0)
+    return counts.select("doc_id", "unigram", n.alias("n"), augmented_tf(n, F.col("max_n")).alias("tf"))
+
+
 def doc_freq(tokens: DataFrame) -> DataFrame:
     """Number of distinct documents per unigram: ``(unigram, df)``."""
     pairs = tokens.select("doc_id", "unigram").distinct()
@@ -47,6 +59,9 @@ def idf(tokens: DataFrame, articles: DataFrame, **skew) -> DataFrame:
 
 def article_idf(articles: DataFrame, **skew) -> DataFrame:
     """As :func:`idf` over the strict unigrams, from one pass over the articles."""
+    found = records(articles)
+    if found.unique:
+        return _own_idf(own_terms(found.rows).withColumn("n", F.lit(1)), found, skew).select("doc_id", "unigram", "idf")
     counts, n_docs = _counted(articles)
     return _with_idf(counts, counts, n_docs, skew).select("doc_id", "unigram", "idf")
 
@@ -67,15 +82,31 @@ def tf_idf(articles: DataFrame, compat: bool = False, **skew) -> DataFrame:
     normaliser for TF only: a pair is then counted under both rules, and a
     weight whose rule does not know the pair is 1, as in
     :func:`combine_weights`.
+
+    Where no id has two records, terms are counted in the record and the
+    frequent words meet their document frequency by broadcast, so that only
+    the frequencies and rare words are shuffled; the text is then read once
+    for the frequencies and once or twice for the weights.
     """
-    counts, n_docs = _counted(articles, compat)
     rule = "lax" if compat else "n"
-    weighted = _with_idf(_with_tf(counts, skew, rule), counts, n_docs, skew)
+    found = records(articles)
+    if found.unique:
+        counts = own_counts(found.rows, compat)
+        weighted = _own_idf(counts.withColumn("tf", augmented_tf(F.col(rule), F.col("max_n"))), found, skew)
+    else:
+        counts, n_docs = _counted(articles, compat)
+        weighted = _with_idf(_with_tf(counts, skew, rule), counts, n_docs, skew)
     tf = F.when(F.col(rule) > 0, F.col("tf")).otherwise(1.0)
     idf_ = F.when(F.col("n") > 0, F.col("idf")).otherwise(1.0)
     return weighted.select("doc_id", "unigram", (tf * idf_).alias("tfidf"))
 
 
+def _own_idf(pairs: DataFrame, found: Records, skew: dict) -> DataFrame:
+    shared_dir(pairs.sparkSession)
+    joined = with_doc_freq(pairs, own_doc_freq(found.rows).checkpoint(), skew.get("hot_keys"))
+    return joined.withColumn("idf", F.log10(F.lit(found.n).cast("bigint") / F.col("df"))).drop("df")
+
+
 def _with_tf(counts: DataFrame, skew: dict, rule: str = "n") -> DataFrame:
     # The maximum is a small aggregate joined back, not a window: a window
     # would put all terms of one document into one task.
@@ -120,7 +151,7 @@ def _counted(articles: DataFrame, compat: bool = False) -> tuple[DataFrame, Colu
         lax = F.transform(tx.unigrams(F.col("text"), compat=True), lambda token: F.concat(F.lit(LAX), token))
         pieces = F.concat(pieces, lax)
     token = F.col("_token")
-    rows = known.select("doc_id", F.explode(F.array_append(pieces, F.lit(RECORD))).alias("_token"))
+    rows = known.select("doc_id", F.explode_outer(F.array_append(pieces, F.lit(RECORD))).alias("_token"))
     rows = rows.filter((token != "") & (token != LAX))
     is_record, is_lax = token == RECORD, token.startswith(LAX) & (token != RECORD)
     unigram = F.when(is_lax, F.substr(token, F.lit(len(LAX) + 1))).otherwise(token)

@@ -78,12 +78,12 @@ def corpus_size(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def term_freq(spark: SparkSession, sf_dir: str) -> DataFrame:
-    freq = qg.term_freq(qg.tokenize(documents(spark, sf_dir)))
+    freq = qg.article_tf(documents(spark, sf_dir))
     return freq.select("doc_id", "unigram", "n", rounded("tf"))
 
 
 def term_freq_compat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    freq = qg.term_freq(qg.tokenize(documents(spark, sf_dir), compat=True))
+    freq = qg.article_tf(documents(spark, sf_dir), compat=True)
     return freq.select("doc_id", "unigram", "n", rounded("tf"))
 
 
@@ -106,8 +106,8 @@ def tf_idf_compat(spark: SparkSession, sf_dir: str) -> DataFrame:
 def combine_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     """TF with the lax keys merged with IDF with the strict ones, from separate tables."""
     docs = documents(spark, sf_dir)
-    tf = qg.term_freq(qg.tokenize(docs, compat=True))
-    idf = qg.idf(qg.tokenize(docs), docs)
+    tf = qg.article_tf(docs, compat=True)
+    idf = qg.article_idf(docs)
     return qg.combine_weights(tf, idf).select("doc_id", "unigram", rounded("tfidf"))
 
 
@@ -377,7 +377,7 @@ def term_freq_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Term counts spread over twenty part files by ranges of their key, each with its line."""
     with qg.work_folder(spark) as work:
         path = work.at("counts")
-        counts = qg.term_counts(qg.tokenize(documents(spark, sf_dir)))
+        counts = qg.article_counts(documents(spark, sf_dir))
         qg.write_tsv(counts, path, order_by=["doc_id", "unigram"], partitions=20)
         return _numbered_fields(work, path, doc_id="bigint", unigram="string", n="bigint")
 
@@ -390,7 +390,7 @@ def term_freq_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     with qg.work_folder(spark) as work:
         path = work.at("counts")
-        counts = qg.term_counts(qg.tokenize(documents(spark, sf_dir)))
+        counts = qg.article_counts(documents(spark, sf_dir))
         qg.write_tsv(counts, path, partitions=20, key=["doc_id"])
         parts = F.split("value", "\t")
         lines = qg.locate_lines(qg.read_lines(spark, path)).select(
