@@ -58,7 +58,8 @@ def one_article(articles: DataFrame) -> DataFrame:
 
 def split_sentences(articles: DataFrame) -> DataFrame:
     """Sentences by position: ``(doc_id, pos, sentence)``."""
-    return articles.select("doc_id", F.posexplode(tx.sentences(F.col("text"))).alias("pos", "sentence"))
+    # Not a plain posexplode: Spark would push a test that there are sentences down to the scan, and cut the text there once more.
+    return articles.select("doc_id", F.posexplode_outer(tx.sentences(F.col("text"))).alias("pos", "sentence")).filter("pos is not null")
 
 
 def score_sentences(sentences: DataFrame, weights: DataFrame, n: int = 5) -> DataFrame:
@@ -72,14 +73,13 @@ def score_sentences(sentences: DataFrame, weights: DataFrame, n: int = 5) -> Dat
     distinct = F.array_remove(F.array_distinct(tx.unigrams(F.col("sentence"))), "")
     words = sentences.select("doc_id", "pos", F.explode_outer(distinct).alias("unigram"))
     weighted = words.join(weights, ["doc_id", "unigram"], "left").select("doc_id", "pos", "tfidf")
-    # Rows are shuffled as they are: few words of a sentence share a value.
-    values = weighted.repartition("doc_id", "pos").groupBy("doc_id", "pos", "tfidf").agg(F.count("tfidf").alias("times"))
-    # Of more than n different values the n largest hold the n best words. The
-    # cut is a group limit, so a sentence of any length is streamed, not collected.
+    # The cut is a group limit over the words as they are, so a sentence of any
+    # length is streamed, not collected or hashed; only what it leaves is counted.
     down = Window.partitionBy("doc_id", "pos").orderBy(F.desc("tfidf"))
-    placed = values.withColumn("_place", F.rank().over(down)).filter(F.col("_place") <= n)
-    better = F.sum("times").over(down.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("times")
-    kept = placed.withColumn("_better", better).filter(F.col("_better") < n)
+    # Shuffled before the cut: a sentence's words are scattered here, so cutting per task would sort them for nothing.
+    dealt = weighted.repartition("doc_id", "pos")
+    kept = dealt.withColumn("_place", F.rank().over(down)).filter(F.col("_place") <= n)
+    kept = kept.groupBy("doc_id", "pos", "tfidf").agg(F.count("tfidf").alias("times"))
     best = kept.groupBy("doc_id", "pos").agg(
         F.sort_array(F.collect_list(F.struct("tfidf", F.col("times").cast("int").alias("times"))), asc=False).alias("best")
     )
