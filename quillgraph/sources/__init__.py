@@ -1,4 +1,4 @@
-from quillgraph.sources.shared import WorkFolder, shared_dir, shuffle_partitions, work_folder, work_path
+from quillgraph.sources.shared import WorkFolder, session_settings, shared_dir, shuffle_partitions, work_folder, work_path
 from quillgraph.sources.sinks import format_ranked, write_summaries, write_tsv
 from quillgraph.sources.text import locate_lines, number_lines, parse_articles, parse_links, read_lines, read_weights
 
@@ -11,6 +11,7 @@ __all__ = [
     "parse_links",
     "read_lines",
     "read_weights",
+    "session_settings",
     "shared_dir",
     "shuffle_partitions",
     "work_folder",

@@ -148,6 +148,30 @@ def test_the_layout_follows_the_number_of_links(spark, graph):
         spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
+def recorded_plans(monkeypatch, df, run):
+    """The plans of what is checkpointed in ``run``, as text."""
+    plans, checkpoint = [], type(df).checkpoint
+
+    def recorded(self, *args, **options):
+        plans.append(self._jdf.queryExecution().executedPlan().toString())
+        return checkpoint(self, *args, **options)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(type(df), "checkpoint", recorded)
+        run()
+    return plans
+
+
+def test_a_round_adds_links_up_in_the_order_they_lie_in(spark, graph, monkeypatch):
+    _, df = graph
+    last = recorded_plans(monkeypatch, df, lambda: qg.pagerank(df, 3, 0.15))[-1]
+    # Neither ranks nor links are sorted in a round, and links meet no hash table of sums.
+    sums = [line for line in last.splitlines() if "partial_sum(part" in line]
+    assert len(sums) == 3 and all("SortAggregate" in line for line in sums)
+    assert last.count("ShuffledHashJoin") == 3
+    assert spark.conf.get("spark.sql.execution.replaceHashWithSortAgg", "false") == "false"
+
+
 def test_link_bomb(spark, pages):
     edges = edge_frame(spark, BOMB_EDGES)
     kept = [e for e in BOMB_EDGES if e[0] in (1, 2, 5)]
