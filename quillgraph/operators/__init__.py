@@ -3,6 +3,7 @@ from quillgraph.operators.graph import (
     collapse,
     dead_ends,
     find_page,
+    frozen_links,
     inject_links,
     inject_weighted,
     keyword_subgraph,
@@ -51,6 +52,7 @@ __all__ = [
     "doc_profile",
     "explode_lines",
     "find_page",
+    "frozen_links",
     "idf",
     "inject_links",
     "inject_weighted",

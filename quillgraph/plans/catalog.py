@@ -268,7 +268,7 @@ def inject_weighted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The injected links as a weight on collapsed links."""
     target = qg.find_page(pages(spark, sf_dir), TARGET)
     weighted = qg.inject_weighted(qg.collapse(links(spark, sf_dir)), target)
-    return weighted.withColumnRenamed("copies", "n")
+    return qg.frozen_links(weighted).withColumnRenamed("copies", "n")
 
 
 def link_bomb(spark: SparkSession, sf_dir: str) -> DataFrame:

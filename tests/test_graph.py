@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 import quillgraph as qg
-from quillgraph.operators.graph import layout_width
+from quillgraph.operators.graph import COLLAPSE_PARTS, layout_width
+from quillgraph.plans import catalog
 from tests import model
 from tests.plans import executed_plan
 
@@ -172,6 +173,15 @@ def test_a_round_adds_links_up_in_the_order_they_lie_in(spark, graph, monkeypatc
     assert spark.conf.get("spark.sql.execution.replaceHashWithSortAgg", "false") == "false"
 
 
+def test_links_are_collapsed_in_many_partitions(spark, graph, monkeypatch):
+    _, df = graph
+    injected = recorded_plans(monkeypatch, df, lambda: catalog.inject_weighted(spark, "/root/testdata/sf0.001"))
+    ranked = recorded_plans(monkeypatch, df, lambda: qg.pagerank(df, 1))
+    for plan, shuffles in ((injected[-1], 2), (ranked[0], 1)):
+        dealt = [line for line in plan.splitlines() if "Exchange hashpartitioning(src" in line]
+        assert len(dealt) == shuffles and all(f", {COLLAPSE_PARTS})" in line for line in dealt)
+
+
 def test_link_bomb(spark, pages):
     edges = edge_frame(spark, BOMB_EDGES)
     kept = [e for e in BOMB_EDGES if e[0] in (1, 2, 5)]
