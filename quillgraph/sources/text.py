@@ -116,16 +116,22 @@ def read_weights(spark: SparkSession, path: str, mode: str = "DROPMALFORMED", na
     """Tab-separated weights to ``(doc_id, unigram, <name>)``; blank lines are skipped."""
     line = F.col("value")
     lines = read_lines(spark, path).filter(line != "")
-    records = _checked(lines, F.substring_index(line, "\t", 2) != line, line, mode)
-    parts = F.split(line, "\t", 3)
+    # Cut at the tabs: a split would go through a regex twice a line, as the filter below is moved to the scan.
+    doc_id, head = F.substring_index(line, "\t", 1), F.substring_index(line, "\t", 2)
+    records = _checked(lines, head != line, line, mode)
     weights = records.select(
-        F.get(parts, F.lit(0)).alias("doc_id"),
-        F.get(parts, F.lit(1)).alias("unigram"),
-        _parsed(F.get(parts, F.lit(2)), "double", mode).alias(name),
+        doc_id.alias("doc_id"),
+        _after(head, doc_id).alias("unigram"),
+        _parsed(_after(line, head), "double", mode).alias(name),
     )
     return weights.filter(F.col(name).isNotNull())
 
 
+def _after(text: Column, head: Column) -> Column:
+    """What follows ``head`` and the character behind it."""
+    return F.substr(text, F.char_length(head) + 2)
+
+
 def _page_id(text: Column, mode: str) -> Column:
     return _parsed(text, "bigint", mode)
 

@@ -11,6 +11,7 @@ import quillgraph as qg
 from quillgraph.__main__ import main
 from quillgraph.plans.catalog import QUERIES
 from tests import model
+from tests.plans import executed_plan
 
 
 def frame(spark, lines):
@@ -92,6 +93,13 @@ def test_weights_survive_the_text(spark, tmp_path):
         assert keys == sorted(keys)
 
 
+def test_weight_lines_are_cut_without_a_regex(spark, tmp_path):
+    (tmp_path / "w").write_text("1\té€😀\t0.5\n\t\t1\n2\tb\t\n3\tc\t0.5\t\n4\td\t0.5\tx\n5\t\té\n", encoding="utf-8")
+    weights = qg.read_weights(spark, str(tmp_path / "w"))
+    assert sorted(map(tuple, weights.collect())) == [("", "", 1.0), ("1", "é€😀", 0.5), ("3", "c", 0.5)]
+    assert "split(" not in executed_plan(weights)
+
+
 def test_bad_weights(spark, tmp_path):
     (tmp_path / "w").write_text("1\ta\t0.5\n\n1\tb\n1\tc\tx\n")
     assert [tuple(r) for r in qg.read_weights(spark, str(tmp_path / "w")).collect()] == [("1", "a", 0.5)]
