@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quillgraph.llm.common import reach_workers, slices
+from quillgraph.llm.common import let_go, reach_workers, slices
 from quillgraph.llm.components import components
 from quillgraph.llm.rolling import Ranges, buffer, mix
 from quillgraph.sources.shared import shared_dir
@@ -102,7 +102,7 @@ def sketch(docs: DataFrame, n: int, together: int = TOGETHER) -> tuple[np.ndarra
 
     And in how many parts, as a power of two, the rows of such an n-gram are
     to be dealt out. Neither changes a result. Tasks send their counts in
-    blocks, which are added up block by block.
+    blocks, which are added up and rated block by block.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -124,12 +124,15 @@ def sketch(docs: DataFrame, n: int, together: int = TOGETHER) -> tuple[np.ndarra
 
     schema = "block int, counts binary"
     rows = docs.select("text").mapInArrow(count, schema).repartition("block").mapInArrow(add, schema).collect()
-    counts = np.zeros(SKETCH)
-    for row in rows:
-        counts[row["block"] * CELLS : (row["block"] + 1) * CELLS] = np.frombuffer(row["counts"], dtype="<u8")
-    above = (counts - counts.mean()) / max(1.0, float(np.sqrt(counts.mean())))
-    parts = np.ceil(np.log2(np.maximum(1.0, (counts - counts.mean()) / together)))
-    return np.where(above >= 4, np.log2(np.maximum(above, 4)) - 1, 0).astype(np.uint8), parts.astype(np.uint8)
+    blocks = {row["block"]: np.frombuffer(row["counts"], dtype="<u8") for row in rows}
+    mean = sum(int(counts.sum()) for counts in blocks.values()) / SKETCH
+    late, parts = np.zeros(SKETCH, dtype=np.uint8), np.zeros(SKETCH, dtype=np.uint8)
+    for block, counts in blocks.items():
+        at, above = slice(block * CELLS, (block + 1) * CELLS), counts - mean
+        deviations = above / max(1.0, mean**0.5)
+        late[at] = np.where(deviations >= 4, np.log2(np.maximum(deviations, 4)) - 1, 0)
+        parts[at] = np.ceil(np.log2(np.maximum(1.0, above / together)))
+    return late, parts
 
 
 def _blocks(counts: dict[int, np.ndarray]) -> pa.RecordBatch:
@@ -287,8 +290,11 @@ def _verified(pairs: DataFrame, docs: DataFrame, reps: DataFrame, n: int, percen
     """The pairs ``(a, b)`` of classes that are similar enough.
 
     The sorted array of ``b`` goes to the hub ``a``. A hub with many members
-    is dealt out over groups, its own array once for each.
+    is dealt out over groups, its own array once for each. No text is looked
+    at without pairs, which should be kept already.
     """
+    if pairs.isEmpty():
+        return pairs
     groups = pairs.groupBy("a").agg(F.ceil(F.count("*") / SPREAD).cast("int").alias("groups"))
     spread = pairs.join(groups, "a").withColumn("salt", F.pmod(F.xxhash64("b"), F.col("groups")).cast("int"))
     members = spread.select(F.col("b").alias("cls"), "a", "salt", F.lit(1).alias("role"))
@@ -484,12 +490,14 @@ def join(docs: DataFrame, n: int = 5, percent: int = 80, together: int = TOGETHE
     stars = stars.select("a", "b").checkpoint()
     first = _verified(_possible(stars, reps, percent), docs, reps, n, percent).unionByName(_same_id(known))
     first = components(first).checkpoint()
+    let_go(spark)
 
     # Then the pairs with other hubs, where they are not in one component already.
     placed = _in_components(_in_components(shared, first, "cls", "own"), first, "hub", "other").checkpoint()
     apart = placed.filter("near and own <> other").select(F.col("hub").alias("a"), F.col("cls").alias("b")).distinct()
     apart = apart.join(stars, ["a", "b"], "left_anti").checkpoint()
     second = components(_stars(first).unionByName(_verified(_possible(apart, reps, percent), docs, reps, n, percent))).checkpoint()
+    let_go(spark)
 
     # What is left are pairs of other classes at an n-gram, if in different components.
     torn = placed.groupBy("gram").agg(F.min("own").alias("low"), F.max("own").alias("high")).filter("low < high").select("gram")
@@ -498,6 +506,7 @@ def join(docs: DataFrame, n: int = 5, percent: int = 80, together: int = TOGETHE
     more = _tiled(rest.join(reps.select("cls", "n", "bits"), "cls"), percent, tile)
     tested = stars.unionByName(apart).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     more = more.join(tested, ["a", "b"], "left_anti").checkpoint()
+    let_go(spark)
     more = _verified(more, docs, reps, n, percent)
 
     joined = components(_stars(second).unionByName(more)).withColumnsRenamed({"node": "cls", "component": "group"})

@@ -283,7 +283,7 @@ def encode(docs: DataFrame, tokenizer_file: str) -> DataFrame:
     other columns are not looked at. ``tokenizer_file`` must be there on every
     worker.
     """
-    vocabulary(tokenizer_file)
+    Vocabulary(tokenizer_file)  # Other tokenizers are refused here; the driver keeps none.
     reach_workers(docs.sparkSession)
     width, kind = shuffle_width(docs.sparkSession), docs.schema["doc_id"].dataType.simpleString()
     words = _encode_distinct(_distinct(docs, tokenizer_file, 4 * width), tokenizer_file, width)
