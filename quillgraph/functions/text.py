@@ -45,8 +45,13 @@ def unigrams(text: Column, compat: bool = False) -> Column:
     Normalising the text once, with the separators spared, gives the same
     unigrams as normalising each token and calls the regex once per row.
     """
+    return raw_tokens(reduced(text, compat))
+
+
+def reduced(text: Column, compat: bool = False) -> Column:
+    """A text normalised as a whole, with its separators."""
     drop = f"[^{UNIGRAM}{BLANK}]\\]" if compat else f"[^{UNIGRAM}{BLANK}]+"
-    return raw_tokens(F.lower(F.regexp_replace(text, drop, "")))
+    return F.lower(F.regexp_replace(text, drop, ""))
 
 
 def split_char(text: Column, separator: str) -> Column:

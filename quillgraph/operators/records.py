@@ -2,16 +2,23 @@
 
 from __future__ import annotations
 
+from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillgraph.functions import text as tx
+from quillgraph.functions.utf8 import strict_words
+from quillgraph.sources.shared import reach_workers
 
 # Words whose document frequency is broadcast, and the bytes that one may have.
 LISTED_WORDS = 500_000
 LISTED_BYTES = 64
+# Words that a task counts before it hands them on.
+COUNTED_WORDS = 200_000
 
 
 @dataclass
@@ -85,30 +92,78 @@ def own_terms(known: DataFrame) -> DataFrame:
 
 
 def own_doc_freq(known: DataFrame) -> DataFrame:
-    """Number of records per unigram, where ids are unique: ``(unigram, df)``."""
-    return own_terms(known).groupBy("unigram").agg(F.count("*").alias("df"))
+    """Number of records per unigram, where ids are unique: ``(unigram, df)``.
 
+    Words are counted over many records before they are shuffled, up to
+    ``COUNTED_WORDS`` distinct ones at a time.
+    """
+    reach_workers(known.sparkSession)
 
-def with_doc_freq(pairs: DataFrame, spread: DataFrame, listed_words: int | None = None) -> DataFrame:
-    """``pairs`` with the ``df`` of their unigram, null where ``n`` is 0.
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: Counter[bytes] = Counter()
+        for batch in batches:
+            for text in batch.column(0):
+                found.update({*strict_words(text.as_py())})
+                if len(found) > COUNTED_WORDS:
+                    yield _counted(found)
+                    found.clear()
+        yield _counted(found)
+
+    counted = known.select(F.col("text").cast("binary").alias("text")).mapInArrow(count, "unigram binary, df bigint")
+    return counted.groupBy(F.col("unigram").cast("string").alias("unigram")).agg(F.sum("df").alias("df"))
+
+
+def _counted(found: Counter[bytes]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pydict({"unigram": pa.array(found.keys(), pa.binary()), "df": pa.array(found.values(), pa.int64())})
 
-    ``spread`` has one row per unigram, frozen. The most frequent words, at
-    most ``LISTED_WORDS`` of at most ``LISTED_BYTES`` bytes, are broadcast:
-    those above the smallest power of two that leaves so few. Where all others
-    are in one document only, a word that is not on the list has a frequency
-    of 1; else the pairs of the others meet theirs in a shuffle, which holds
-    no frequent word.
+
+@dataclass
+class Frequencies:
+    """The document frequency of each unigram, parted into a bounded list of frequent words and the rest.
+
+    ``spread`` has one row ``(unigram, df)`` per unigram, frozen, of ``n_docs``
+    records. Listed are the most frequent words, at most ``LISTED_WORDS`` of at
+    most ``LISTED_BYTES`` bytes: those above the smallest power of two that
+    leaves so few. ``rest_is_lone`` says that all others are in one document only.
     """
+
+    spread: DataFrame
+    n_docs: int
+    on_list: Column
+    rest_is_lone: bool
+
+    def listed(self) -> DataFrame:
+        return self.spread.filter(self.on_list)
+
+    def rest(self) -> DataFrame:
+        return self.spread.filter(~self.on_list)
+
+    def idf(self, df: Column) -> Column:
+        return F.log10(F.lit(self.n_docs).cast("bigint") / df)
+
+
+def frequencies(spread: DataFrame, n_docs: int, listed_words: int | None = None) -> Frequencies:
+    """The frequencies of ``spread``, which is frozen, with their list of at most ``listed_words``."""
     most = LISTED_WORDS if listed_words is None else listed_words
     # An unusual word may be long; a listed one is not, so the list is bounded in bytes too.
     short = F.octet_length("unigram") <= LISTED_BYTES
     over = spread.agg(*[F.count_if(short & (F.col("df") > 2**i)).alias(f"p{i}") for i in range(63)]).first()
     floor = 2 ** next(i for i in range(63) if over[i] <= most)
     on_list = short & (F.col("df") > floor)
-    rest = spread.filter(~on_list)
-    met = pairs.join(F.broadcast(spread.filter(on_list)), "unigram", "left")
-    if (rest.agg(F.max("df")).first()[0] or 1) == 1:
+    lone = (spread.filter(~on_list).agg(F.max("df")).first()[0] or 1) == 1
+    return Frequencies(spread, n_docs, on_list, lone)
+
+
+def with_doc_freq(pairs: DataFrame, found: Frequencies) -> DataFrame:
+    """``pairs`` with the ``df`` of their unigram, null where ``n`` is 0.
+
+    The listed words are broadcast. Where all others are in one document
+    only, a word that is not on the list has a frequency of 1; else the pairs
+    of the others meet theirs in a shuffle, which holds no frequent word.
+    """
+    met = pairs.join(F.broadcast(found.listed()), "unigram", "left")
+    if found.rest_is_lone:
         return met.withColumn("df", F.when(F.col("n") > 0, F.coalesce("df", F.lit(1).cast("bigint"))))
     near = met.filter("df is not null or n = 0")
-    far = met.filter("df is null and n > 0").drop("df").join(rest, "unigram")
+    far = met.filter("df is null and n > 0").drop("df").join(found.rest(), "unigram")
     return near.unionByName(far)

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillgraph.functions import text as tx
+from quillgraph.operators.scoring import Chosen, Cut, Scores, note_of, noted, scored_in_record
 from quillgraph.operators.tfidf import tf_idf
 from quillgraph.sources.shared import shared_dir
 
@@ -44,7 +45,7 @@ def one_article(articles: DataFrame) -> DataFrame:
     repeated = ids.filter("n > 1").select(F.xxhash64("doc_id").alias("_hash")).checkpoint()
     n = repeated.count()
     if n == 0:
-        return kept
+        return noted(kept, Chosen(articles))
     if n <= BROADCAST_IDS:
         repeated = F.broadcast(repeated)
     hashed = kept.withColumn("_hash", F.xxhash64("doc_id"))
@@ -53,13 +54,14 @@ def one_article(articles: DataFrame) -> DataFrame:
     tied = several.join(greatest, ["doc_id", "_key"], "left_semi")
     last_first = Window.partitionBy("doc_id").orderBy(F.desc("text"))
     chosen = tied.withColumn("_row", F.row_number().over(last_first)).filter("_row = 1").select("doc_id", "text")
-    return hashed.join(repeated, "_hash", "left_anti").select("doc_id", "text").unionByName(chosen)
+    return noted(hashed.join(repeated, "_hash", "left_anti").select("doc_id", "text").unionByName(chosen), Chosen(None))
 
 
 def split_sentences(articles: DataFrame) -> DataFrame:
     """Sentences by position: ``(doc_id, pos, sentence)``."""
     # Not a plain posexplode: Spark would push a test that there are sentences down to the scan, and cut the text there once more.
-    return articles.select("doc_id", F.posexplode_outer(tx.sentences(F.col("text"))).alias("pos", "sentence")).filter("pos is not null")
+    pieces = F.posexplode_outer(tx.sentences(F.col("text"))).alias("pos", "sentence")
+    return noted(articles.select("doc_id", pieces).filter("pos is not null"), Cut(articles))
 
 
 def score_sentences(sentences: DataFrame, weights: DataFrame, n: int = 5) -> DataFrame:
@@ -68,7 +70,15 @@ def score_sentences(sentences: DataFrame, weights: DataFrame, n: int = 5) -> Dat
     Words tied with the n-th best all count. A sentence without a weighted
     word scores 0. Values are added from the largest down, so equal word
     weights give equal scores on every run.
+
+    Sentences of articles with ids of their own, as :func:`split_sentences`
+    gave them, are scored in the record, by the same rule: their words are not
+    shuffled. The TF·IDF of the same articles is made there too; other weights
+    are shuffled once, packed by document.
     """
+    own = scored_in_record(sentences, weights, n)
+    if own is not None:
+        return own
     # A sentence without words keeps one row, with a null word.
     distinct = F.array_remove(F.array_distinct(tx.unigrams(F.col("sentence"))), "")
     words = sentences.select("doc_id", "pos", F.explode_outer(distinct).alias("unigram"))
@@ -92,7 +102,13 @@ def score_sentences(sentences: DataFrame, weights: DataFrame, n: int = 5) -> Dat
 
 
 def attach_scores(sentences: DataFrame, scores: DataFrame) -> DataFrame:
-    """Sentences with their score, 0 where there is none: ``(doc_id, pos, sentence, score)``."""
+    """Sentences with their score, 0 where there is none: ``(doc_id, pos, sentence, score)``.
+
+    Scores made in the record of the same sentences are made beside them.
+    """
+    own = note_of(scores, Scores)
+    if own is not None and own.sentences is sentences:
+        return own.rows(True)
     joined = sentences.join(scores, ["doc_id", "pos"], "left")
     return joined.select("doc_id", "pos", "sentence", F.coalesce("score", F.lit(0.0)).alias("score"))
 
@@ -116,21 +132,23 @@ def summarize(
     name documents that have no article; those get the summary of one empty
     sentence.
 
-    Scores travel without the sentences, and the chosen positions are joined
-    back to the text.
+    Each id has one text here, so sentences are scored where they lie; of each
+    document only the best, cut per task first, are shuffled.
     """
     if weights is None:
         weights = tf_idf(articles, compat=compat)
         corpus = one_article(articles)
     else:
-        bare = weights.filter("doc_id is not null").select("doc_id", F.lit("").alias("text")).distinct()
+        shared_dir(articles.sparkSession)
         known = one_article(articles)
-        corpus = known.unionByName(bare.join(known.select("doc_id"), "doc_id", "left_anti"))
-
-    scores = score_sentences(split_sentences(corpus), weights, n)
-    chosen = top_sentences(scores, k).groupBy("doc_id").agg(F.array_sort(F.collect_list("pos")).alias("positions"))
-    cut_up = corpus.select("doc_id", tx.sentences(F.col("text")).alias("pieces"))
-    parts = F.transform("positions", lambda pos: F.concat(F.get("pieces", pos), F.lit(". ")))
-    return cut_up.join(chosen, "doc_id", "left").select(
+        named = weights.filter("doc_id is not null").select("doc_id").distinct()
+        bare = named.join(known.select("doc_id"), "doc_id", "left_anti").select("doc_id", F.lit("").alias("text")).checkpoint()
+        corpus = noted(known.unionByName(bare), Chosen(None))
+
+    sentences = split_sentences(corpus)
+    best = top_sentences(attach_scores(sentences, score_sentences(sentences, weights, n)), k)
+    chosen = best.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("pos", "sentence"))).alias("best"))
+    parts = F.transform("best", lambda x: F.concat(x["sentence"], F.lit(". ")))
+    return corpus.select("doc_id").join(chosen, "doc_id", "left").select(
         "doc_id", F.coalesce(F.concat_ws("", parts), F.lit("")).alias("summary")
     )

@@ -7,7 +7,17 @@ from pyspark.sql import functions as F
 
 from quillgraph.functions import text as tx
 from quillgraph.operators.profiles import term_counts, tokenize
-from quillgraph.operators.records import Records, own_counts, own_doc_freq, own_terms, records, with_doc_freq
+from quillgraph.operators.records import (
+    Frequencies,
+    Records,
+    frequencies,
+    own_counts,
+    own_doc_freq,
+    own_terms,
+    records,
+    with_doc_freq,
+)
+from quillgraph.operators.scoring import OwnWeights, noted
 from quillgraph.operators.skew import salted_join
 from quillgraph.sources.shared import shared_dir
 
@@ -61,7 +71,8 @@ def article_idf(articles: DataFrame, **skew) -> DataFrame:
     """As :func:`idf` over the strict unigrams, from one pass over the articles."""
     found = records(articles)
     if found.unique:
-        return _own_idf(own_terms(found.rows).withColumn("n", F.lit(1)), found, skew).select("doc_id", "unigram", "idf")
+        terms = own_terms(found.rows).withColumn("n", F.lit(1))
+        return _own_idf(terms, _frozen_freq(found, skew)).select("doc_id", "unigram", "idf")
     counts, n_docs = _counted(articles)
     return _with_idf(counts, counts, n_docs, skew).select("doc_id", "unigram", "idf")
 
@@ -86,25 +97,29 @@ def tf_idf(articles: DataFrame, compat: bool = False, **skew) -> DataFrame:
     Where no id has two records, terms are counted in the record and the
     frequent words meet their document frequency by broadcast, so that only
     the frequencies and rare words are shuffled; the text is then read once
-    for the frequencies and once or twice for the weights.
+    for the frequencies and once or twice for the weights. ``score_sentences``
+    knows these weights and makes them where the sentences are.
     """
     rule = "lax" if compat else "n"
-    found = records(articles)
-    if found.unique:
-        counts = own_counts(found.rows, compat)
-        weighted = _own_idf(counts.withColumn("tf", augmented_tf(F.col(rule), F.col("max_n"))), found, skew)
-    else:
-        counts, n_docs = _counted(articles, compat)
-        weighted = _with_idf(_with_tf(counts, skew, rule), counts, n_docs, skew)
     tf = F.when(F.col(rule) > 0, F.col("tf")).otherwise(1.0)
     idf_ = F.when(F.col("n") > 0, F.col("idf")).otherwise(1.0)
-    return weighted.select("doc_id", "unigram", (tf * idf_).alias("tfidf"))
+    product = (tf * idf_).alias("tfidf")
+    found = records(articles)
+    if not found.unique:
+        counts, n_docs = _counted(articles, compat)
+        return _with_idf(_with_tf(counts, skew, rule), counts, n_docs, skew).select("doc_id", "unigram", product)
+    counts, freq = own_counts(found.rows, compat), _frozen_freq(found, skew)
+    weighted = _own_idf(counts.withColumn("tf", augmented_tf(F.col(rule), F.col("max_n"))), freq)
+    return noted(weighted.select("doc_id", "unigram", product), OwnWeights(articles, freq, compat))
+
+
+def _frozen_freq(found: Records, skew: dict) -> Frequencies:
+    shared_dir(found.rows.sparkSession)
+    return frequencies(own_doc_freq(found.rows).checkpoint(), found.n, skew.get("hot_keys"))
 
 
-def _own_idf(pairs: DataFrame, found: Records, skew: dict) -> DataFrame:
-    shared_dir(pairs.sparkSession)
-    joined = with_doc_freq(pairs, own_doc_freq(found.rows).checkpoint(), skew.get("hot_keys"))
-    return joined.withColumn("idf", F.log10(F.lit(found.n).cast("bigint") / F.col("df"))).drop("df")
+def _own_idf(pairs: DataFrame, freq: Frequencies) -> DataFrame:
+    return with_doc_freq(pairs, freq).withColumn("idf", freq.idf(F.col("df"))).drop("df")
 
 
 def _with_tf(counts: DataFrame, skew: dict, rule: str = "n") -> DataFrame:
