@@ -14,7 +14,9 @@ from dataclasses import dataclass
 from typing import TypeVar
 from weakref import WeakKeyDictionary
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -140,28 +142,25 @@ def packed(weights: DataFrame) -> DataFrame:
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = zip(*(batch.column(name).to_pylist() for name in ("doc_id", "unigram", "tfidf")), strict=True)
-            at, words, values, last = [], [], [], None
-            for i, (doc, word, weight) in enumerate(rows):
-                if not at or doc != last:
-                    at.append(i)
-                    words.append([])
-                    values.append([])
-                    last = doc
-                if word.isalnum():
-                    words[-1].append(word)
-                    values[-1].append(weight)
+            batch = batch.filter(pc.ascii_is_alnum(batch.column("unigram")))
+            if not batch.num_rows:
+                continue
+            ids, words, values = (batch.column(name) for name in ("doc_id", "unigram", "tfidf"))
+            new = pc.not_equal(ids.slice(1), ids.slice(0, len(ids) - 1)).to_numpy(zero_copy_only=False)
+            starts = np.concatenate([[0], np.flatnonzero(new) + 1]).astype(np.int32)
+            ends = np.append(starts, len(ids)).astype(np.int32)
+            numbers = values.to_numpy(zero_copy_only=False)
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("doc_id").take(pa.array(at, pa.int32())),
-                    pa.array([b" ".join(x) for x in words], pa.binary()),
-                    pa.array([memoryview(pa.array(x, pa.float64()).buffers()[1])[: 8 * len(x)].tobytes() for x in values], pa.binary()),
+                    ids.take(pa.array(starts)),
+                    pc.binary_join(pa.ListArray.from_arrays(pa.array(ends), words), " ").cast(pa.binary()),
+                    pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(ends * np.int32(8)), pa.py_buffer(np.ascontiguousarray(numbers))]),
                 ],
                 ["doc_id", "words", "weights"],
             )
 
     known = weights.filter("doc_id is not null and unigram is not null and tfidf is not null")
-    rows = known.select("doc_id", F.col("unigram").cast("binary").alias("unigram"), F.col("tfidf").cast("double").alias("tfidf"))
+    rows = known.select("doc_id", F.col("unigram").cast("string").alias("unigram"), F.col("tfidf").cast("double").alias("tfidf"))
     kind = weights.schema["doc_id"].dataType.simpleString()
     return rows.mapInArrow(pack, f"doc_id {kind}, words binary, weights binary")
 

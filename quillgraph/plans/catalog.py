@@ -18,6 +18,9 @@ from quillgraph.plans.tables import documents, links, pages, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# How texts are packed that a query writes for itself and that are larger than its input.
+PACKED = "gzip"
+
 
 def rounded(name: str) -> Column:
     return F.round(name, 6).alias(name)
@@ -416,10 +419,12 @@ def summarize_weighted(spark: SparkSession, sf_dir: str) -> DataFrame:
     with qg.work_folder(spark) as work:
         weights_path, articles_path = work.at("weights"), work.at("articles")
         docs = documents(spark, sf_dir)
-        qg.write_tsv(qg.tf_idf(docs), weights_path)
+        # The weights as text are several times as large as the documents.
+        qg.write_tsv(qg.tf_idf(docs), weights_path, compression=PACKED)
         flat = F.regexp_replace("text", r"[\r\n]+", " ")
         line = F.concat_ws("<====>", "source", F.col("doc_id").cast("string"), flat)
-        docs.select(line.alias("value")).write.text(articles_path)
+        docs.select(line.alias("value")).write.text(articles_path, compression=PACKED)
+        qg.let_go(spark)
         articles = qg.parse_articles(qg.read_lines(spark, articles_path))
         return work.keep(qg.summarize(articles, qg.read_weights(spark, weights_path, name="tfidf")))
 

@@ -15,6 +15,7 @@ def write_tsv(
     partitions: int | None = None,
     key: Sequence[str | Column] | None = None,
     mode: str = "errorifexists",
+    compression: str | None = None,
 ) -> None:
     """Write the columns of ``df`` separated by tabs, sorted inside each part file.
 
@@ -22,12 +23,13 @@ def write_tsv(
     ``partitions`` the rows are first spread over that many part files by
     ranges of the sort key, so a frequent key is not bound to one file; with
     ``key`` too they are spread by its hash, so a key is in one file.
+    ``compression`` packs the part files, each of which one task then reads.
     """
     order = list(order_by) if order_by else list(df.columns)
     if partitions is not None:
         df = df.repartition(partitions, *key) if key else df.repartitionByRange(partitions, *order)
     fields = [F.coalesce(F.col(name).cast("string"), F.lit("")) for name in df.columns]
-    df.sortWithinPartitions(*order).select(F.concat_ws("\t", *fields).alias("value")).write.mode(mode).text(path)
+    df.sortWithinPartitions(*order).select(F.concat_ws("\t", *fields).alias("value")).write.mode(mode).text(path, compression=compression)
 
 
 def write_summaries(summaries: DataFrame, path: str, mode: str = "errorifexists") -> None:
