@@ -393,8 +393,8 @@ def term_freq_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     with qg.work_folder(spark) as work:
         path = work.at("counts")
-        counts = qg.article_counts(documents(spark, sf_dir))
-        qg.write_tsv(counts, path, partitions=20, key=["doc_id"])
+        qg.write_tsv(qg.article_counts(documents(spark, sf_dir)), path, partitions=20, key=["doc_id"], compression=PACKED)
+        qg.let_go(spark)
         parts = F.split("value", "\t")
         lines = qg.locate_lines(qg.read_lines(spark, path)).select(
             "file", "line", F.get(parts, F.lit(0)).cast("bigint").alias("doc_id"), F.get(parts, F.lit(1)).alias("unigram")

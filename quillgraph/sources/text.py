@@ -7,11 +7,14 @@ from pyspark.sql import functions as F
 
 from quillgraph.functions import text as tx
 from quillgraph.operators.numbering import running_total
-from quillgraph.sources.shared import shared_dir
+from quillgraph.sources.shared import packed_checkpoint
 
 # Fixed value: the separator of the fields of an article line.
 FIELD_MARK = "<====>"
 
+# Blocks whose offsets are broadcast, a path and three numbers each.
+BROADCAST_BLOCKS = 50_000
+
 MODES = ("DROPMALFORMED", "FAILFAST")
 
 
@@ -97,18 +100,22 @@ def _blocks(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     needs one offset, the number of lines before it: a running sum over the
     blocks, which are dealt out by ranges of their place or by file.
     """
-    shared_dir(lines.sparkSession)
-    frozen = lines.select(
+    placed = lines.select(
         "value",
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("seq"),
-    ).checkpoint()
-    return frozen, frozen.groupBy("file", "block").agg(F.count("*").alias("rows"), F.min("seq").alias("first"))
+    )
+    frozen = packed_checkpoint(placed)
+    return frozen, frozen.groupBy("file", "block").agg(F.count("*").alias("rows"), F.min("seq").alias("first")).checkpoint()
 
 
 def _shifted(frozen: DataFrame, shifts: DataFrame) -> DataFrame:
-    met = frozen.join(shifts.select("file", "block", "shift"), ["file", "block"])
+    offsets = shifts.select("file", "block", "shift")
+    # Offsets that are broadcast leave the lines where they lie.
+    if offsets.count() <= BROADCAST_BLOCKS:
+        offsets = F.broadcast(offsets)
+    met = frozen.join(offsets, ["file", "block"])
     return met.withColumn("line", F.col("seq") + F.col("shift") + 1)
 
 

@@ -2,14 +2,18 @@ from __future__ import annotations
 
 import gc
 import glob
+import re
 import time
+from pathlib import Path
 
 import pytest
 from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
 import quillgraph as qg
 from quillgraph.__main__ import main
 from quillgraph.plans.catalog import QUERIES
+from quillgraph.sources.shared import packed_checkpoint, shared_dir
 from tests import model
 from tests.plans import executed_plan
 
@@ -178,6 +182,50 @@ def test_lines_by_file(spark, tmp_path):
     assert sorted((r.file.rsplit("/", 1)[1], r.line, r.value) for r in got) == [(n, i, x) for n, lines in texts.items() for i, x in enumerate(lines, 1)]
 
 
+@pytest.mark.parametrize("most", [0, 50_000])
+def test_lines_lie_still_while_they_are_numbered(spark, tmp_path, monkeypatch, most):
+    monkeypatch.setitem(qg.locate_lines.__globals__, "BROADCAST_BLOCKS", most)
+    path = str(tmp_path / "lines")
+    spark.range(3000).selectExpr("cast(id as string) as value").repartitionByRange(3, F.col("value").cast("int")).write.text(path, compression="gzip")
+    lines = qg.read_lines(spark, path)
+    with qg.session_settings(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        for numbered in (qg.locate_lines(lines), qg.number_lines(lines)):
+            moved = re.findall(r"Exchange hashpartitioning\(file#\d+, block#", executed_plan(numbered))
+            assert bool(moved) == (most == 0)
+    assert sorted((r.page_id, r.title) for r in qg.number_lines(lines).collect()) == [(i + 1, str(i)) for i in range(3000)]
+
+
+def size_of(folder):
+    return sum(x.stat().st_size for x in folder.rglob("*") if x.is_file())
+
+
+def test_kept_rows_are_packed(spark):
+    df = spark.range(0, 50_000, 1, 3).select(
+        "id", F.when(F.col("id") % 7 > 0, F.concat(F.lit("w"), F.col("id") % 50)).alias("w"), (F.col("id") / 8).alias("x"), F.array(F.lit(1)).alias("a")
+    )
+    shared_dir(spark)
+    root = Path(spark.sparkContext.getCheckpointDir().removeprefix("file:"))
+    before = size_of(root)
+    plain = df.checkpoint()
+    between = size_of(root)
+    packed = packed_checkpoint(df)
+    assert 0 < 3 * (size_of(root) - between) < between - before
+    # Every row, in its partition and order, and read again as often as asked.
+    placed = [F.spark_partition_id().alias("part"), "*"]
+    assert packed.select(*placed).collect() == plain.select(*placed).collect() == packed.select(*placed).collect()
+    assert packed.schema == df.schema
+    assert packed_checkpoint(df.limit(0)).collect() == []
+
+
+def test_weights_survive_packed_text(spark, tmp_path):
+    rows = [("d", "a", 0.1 + 0.2), ("d", "b", 1e-9), ("é", "c", 3.0)]
+    df = spark.createDataFrame(rows, "doc_id string, unigram string, tfidf double")
+    qg.write_tsv(df, str(tmp_path / "w"), compression="gzip")
+    assert list((tmp_path / "w").glob("*.gz"))
+    got = qg.read_weights(spark, str(tmp_path / "w"), name="tfidf")
+    assert sorted(map(tuple, got.collect())) == sorted(rows)
+
+
 def test_a_work_folder_leaves_nothing(spark):
     def there():
         return set(glob.glob(f"{qg.shared_dir(spark)}/work-*"))
